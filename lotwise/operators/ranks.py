@@ -12,14 +12,19 @@ task.  ``global_row_number`` instead:
    counts, and adds the offset back with a broadcast join whose size is bounded
    by the number of partitions.
 
-The range exchange is shared by both branches (exchange reuse), so partition
-membership is identical on both sides.
+Range bounds come from a sample, and a sample of shuffle output is not
+reproducible, so the numbered partitions are materialised once with a reliable
+``checkpoint()`` into ``spark.checkpoint.dir``: both branches then read the same
+stored (partition id, local index) values, and a lost executor re-reads the
+checkpoint instead of recomputing different bounds.
 """
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lotwise.session import checkpoint_dir
+
 _PID, _LOCAL = "__pid", "__local"
 
 
@@ -34,11 +39,13 @@ def global_row_number(df: DataFrame, order: list[Column], out: str = "row_number
     """1-based ``row_number() OVER (ORDER BY order)``; ``order`` must be unique.
     With ``total`` set, the table's row count is attached under that name."""
     parts = _n_partitions(df, n_partitions)
+    checkpoint_dir(df.sparkSession)
     ranged = (df.repartitionByRange(parts, *order)
                 .sortWithinPartitions(*order)
                 .withColumn(_PID, F.spark_partition_id())
                 .withColumn(_LOCAL, F.monotonically_increasing_id()
-                            - F.shiftleft(F.col(_PID).cast("long"), 33)))
+                            - F.shiftleft(F.col(_PID).cast("long"), 33))
+                .checkpoint(eager=True))
     counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select(
         _PID,
@@ -100,3 +107,21 @@ def with_average_rank(df: DataFrame, value: str, out: str, pct: bool = True,
     res = ranked.join(avg, [value], "left")
     val = F.col("__avg") / F.col("__total") if pct else F.col("__avg")
     return res.withColumn(out, val).drop("__rid", "__rn", "__avg", "__total")
+
+
+def group_row_number(df: DataFrame, group: list[str], order: list[Column], out: str,
+                     n_partitions: int | None = None) -> DataFrame:
+    """``row_number() OVER (PARTITION BY group ORDER BY order)`` that stays
+    balanced when one group holds a large share of the rows.
+
+    A per-group window sorts each group in one task.  Here the rows are ranked
+    globally on (group, order) with range partitioning - a hot group is split
+    across many partitions - and the group's first global rank (a grouped
+    ``min``, combined map-side) is subtracted.  ``order`` must make
+    (group, order) unique."""
+    keys = [F.col(g).asc_nulls_last() for g in group] + list(order)
+    ranked = global_row_number(df, keys, "__grn", n_partitions)
+    first = ranked.groupBy(*group).agg(F.min("__grn").alias("__first"))
+    return (ranked.join(first, group, "inner")
+                  .withColumn(out, (F.col("__grn") - F.col("__first") + 1).cast("int"))
+                  .drop("__grn", "__first"))

@@ -30,7 +30,14 @@ m_users AS (
          CAST(CAST(800000 + (c.c_custkey * 37 % 1300) * 1000 AS DOUBLE) AS DOUBLE) AS maximum_budget,
          CAST(800000 + (c.c_custkey * 37 % 1300) * 1000 AS DOUBLE) * CAST(0.8 AS DOUBLE) AS ideal_budget,
          {_case(BODY_TYPES, 'c.c_custkey % 5')} AS preferred_body_types,
-         'Brand#' || CAST(c.c_custkey % 25 + 1 AS VARCHAR) AS preferred_makes
+         'Brand#' || CAST(c.c_custkey % 25 + 1 AS VARCHAR) AS preferred_makes,
+         CAST(c.c_custkey % 10 AS DOUBLE) / 10.0 AS first_time_buyer_probability,
+         CAST(c.c_custkey % 7 AS DOUBLE) / 7.0 AS quality_sensitivity,
+         CAST(c.c_custkey % 11 AS DOUBLE) / 11.0 AS price_sensitivity,
+         CAST(c.c_custkey % 13 AS DOUBLE) / 13.0 AS brand_loyalty,
+         CAST(c.c_custkey % 17 AS DOUBLE) / 17.0 AS exploration_tendency,
+         CAST(c.c_custkey % 19 AS DOUBLE) / 19.0 AS finance_interest,
+         CAST(c.c_custkey % 23 AS DOUBLE) / 23.0 AS purchase_urgency
   FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 ),
 m_cars AS (

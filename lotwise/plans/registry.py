@@ -158,3 +158,35 @@ def run_all(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
             n = df.count()
         rows.append((name, int(n), len(df.columns), int((time.time() - t0) * 1000)))
     return spark.createDataFrame(rows, CATALOGUE_SCHEMA)
+
+
+# --------------------------------------------------------------- quality (K18, M)
+from lotwise.plans import quality as Q  # noqa: E402
+
+
+@register("K18_data_quality_checks")
+def _k18(spark, d):
+    m = _mp(spark, d)
+    return Q.data_quality_checks(m.users, m.sessions, m.events, m.cars, m.impressions)
+
+
+@register("M1_validate_cars")
+def _m1(spark, d):
+    return Q.validate_cars(_mp(spark, d).cars)
+
+
+@register("M2_validate_users")
+def _m2(spark, d):
+    return Q.validate_users(_mp(spark, d).users)
+
+
+@register("M3_validate_sessions_events")
+def _m3(spark, d):
+    m = _mp(spark, d)
+    return Q.validate_sessions_events(m.sessions, m.events, m.users, m.cars, m.campaigns)
+
+
+@register("M4_validate_impressions")
+def _m4(spark, d):
+    m = _mp(spark, d)
+    return Q.validate_impressions(m.impressions, m.sessions, m.events, m.cars)

@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwise.contracts import BODY_TYPES
+from lotwise.operators.ranks import group_row_number
 from lotwise.sources.io import conform
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -219,8 +220,8 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sessions_from_events(ev: DataFrame) -> DataFrame:
     """One row per session: bounds, (constant) attributes, per-user sequence.
 
-    The per-user window is partitioned by user_id, so it distributes; a user is
-    at most a few thousand sessions."""
+    The per-user sequence uses ``group_row_number`` (range-partitioned), so a
+    user holding a large share of all sessions is still split across tasks."""
     s = ev.groupBy("session_id").agg(
         F.min("user_id").alias("user_id"),
         F.min("event_timestamp").alias("session_start"),
@@ -231,10 +232,9 @@ def sessions_from_events(ev: DataFrame) -> DataFrame:
         F.min("device_category").alias("device_category"),
         F.min("city").alias("city"),
     )
-    w = Window.partitionBy("user_id").orderBy("session_start", "session_id")
-    seq = F.row_number().over(w)
-    s = s.withColumn("session_sequence_number", seq.cast("int")) \
-         .withColumn("is_returning_user", F.col("session_sequence_number") > 1)
+    s = group_row_number(s, ["user_id"], [F.col("session_start").asc_nulls_last(), F.col("session_id")],
+                         "session_sequence_number")
+    s = s.withColumn("is_returning_user", F.col("session_sequence_number") > 1)
     return conform(s, "sessions")
 
 
