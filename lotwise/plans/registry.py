@@ -190,3 +190,83 @@ def _m3(spark, d):
 def _m4(spark, d):
     m = _mp(spark, d)
     return Q.validate_impressions(m.impressions, m.sessions, m.events, m.cars)
+
+
+# --------------------------------------------------------------------- GA4 (N)
+from lotwise.sources import ga4 as G  # noqa: E402
+
+
+@register("N5_ga4_canonical_events")
+def _n5(spark, d):
+    return G.canonicalise(G.flattened_export_from_driver(spark, d))
+
+
+@register("N6_ga4_sessions")
+def _n6(spark, d):
+    return G.sessionise(G.canonicalise(G.flattened_export_from_driver(spark, d)))
+
+
+# ------------------------------------------------------------ commercial (L)
+from lotwise.plans import commercial as L  # noqa: E402
+
+
+@register("L1_campaign_performance")
+def _l1(spark, d):
+    m = _mp(spark, d)
+    return L.campaign_performance(m.sessions, m.events, m.cars, m.campaigns)
+
+
+@register("L2_inventory_match_score")
+def _l2(spark, d):
+    m = _mp(spark, d)
+    return L.inventory_match_score(m.sessions, m.events, m.cars)
+
+
+@register("L3_inventory_opportunities")
+def _l3(spark, d):
+    m = _mp(spark, d)
+    return L.inventory_opportunities(m.events, m.cars, minimum_gap=1.0)
+
+
+@register("L4_price_review_candidates")
+def _l4(spark, d):
+    m = _mp(spark, d)
+    return L.price_review_candidates(m.events, m.cars)
+
+
+@register("L5_budget_allocation")
+def _l5(spark, d):
+    m = _mp(spark, d)
+    return L.budget_allocation(L.campaign_performance(m.sessions, m.events, m.cars, m.campaigns))
+
+
+@register("L6_segment_sample_sizes")
+def _l6(spark, d):
+    m = _mp(spark, d)
+    return L.segment_sample_sizes(L.campaign_performance(m.sessions, m.events, m.cars, m.campaigns))
+
+
+@register("L7_experiment_readout")
+def _l7(spark, d):
+    m = _mp(spark, d)
+    return L.experiment_readout(L.user_arm_assignment(m.users, m.events))
+
+
+@register("L8_baseline_booking_rate")
+def _l8(spark, d):
+    return L.baseline_booking_rate(_mp(spark, d).events)
+
+
+@register("L12_deal_labels")
+def _l12(spark, d):
+    return L.deal_labels_for_listings(_mp(spark, d).cars)
+
+
+@register("L14_comparable_segments")
+def _l14(spark, d):
+    return L.comparable_segments(_mp(spark, d).cars)
+
+
+@register("L15_modal_model")
+def _l15(spark, d):
+    return L.modal_model(_mp(spark, d).cars)
