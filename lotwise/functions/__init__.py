@@ -52,6 +52,11 @@ def stable_id(prefix: str, *parts: Column) -> Column:
     return F.concat(F.lit(prefix + "_"), F.substring(F.sha2(text, 256), 1, 20))
 
 
+def clip_lower(x: Column, lower: float) -> Column:
+    """pandas ``clip(lower=...)``: NULL stays NULL (``greatest`` would skip it)."""
+    return F.when(x.isNull(), F.lit(None)).otherwise(F.greatest(x, F.lit(lower)))
+
+
 def sigmoid(x: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-x))
 

@@ -51,6 +51,19 @@ m_cars AS (
          CAST(p.p_size * 1500 + (p.p_partkey % 1000) * 10 AS DOUBLE) AS kilometres_driven,
          CAST(p.p_partkey % 3 + 1 AS INTEGER) AS owner_count,
          n.n_name AS city,
+         'STATE_' || CAST(n.n_regionkey AS VARCHAR) AS state,
+         CAST(1000 + p.p_size * 20 AS DOUBLE) AS engine_cc,
+         CAST(12 + p.p_size % 10 AS DOUBLE) AS claimed_mileage_kmpl,
+         p.p_partkey % 4 <> 0 AS insurance_valid,
+         p.p_partkey % 3 <> 0 AS service_history_available,
+         p.p_partkey % 11 = 0 AS accident_history,
+         CAST(50 + p.p_size AS DOUBLE) AS exterior_score,
+         CAST(50 + p.p_size AS DOUBLE) - 1.0 AS interior_score,
+         CAST(50 + p.p_size AS DOUBLE) - 2.0 AS engine_score,
+         CAST(50 + p.p_size AS DOUBLE) - 3.0 AS tyre_score,
+         p.p_partkey % 2 = 0 AS delivery_available,
+         p.p_partkey % 3 <> 1 AS finance_available,
+         CAST(p.p_size % 10 AS DOUBLE) / 10.0 AS model_popularity,
          CAST(50 + p.p_size AS DOUBLE) AS inspection_score,
          CAST(p.p_size % 20 + 5 AS INTEGER) AS number_of_features,
          p.p_retailprice * CAST(1000.0 AS DOUBLE) * CAST(0.85 AS DOUBLE) AS acquisition_price,

@@ -270,3 +270,25 @@ def _l14(spark, d):
 @register("L15_modal_model")
 def _l15(spark, d):
     return L.modal_model(_mp(spark, d).cars)
+
+
+# -------------------------------------------------------------- features (O)
+from lotwise.plans import features as O  # noqa: E402
+
+
+@register("O4_price_dataset")
+def _o4(spark, d):
+    m = _mp(spark, d)
+    return O.build_price_dataset(m.cars, m.events)
+
+
+@register("O5_booking_dataset")
+def _o5(spark, d):
+    m = _mp(spark, d)
+    return O.build_booking_dataset(m.impressions, m.sessions, m.users, m.cars, m.events)
+
+
+@register("O6_sellthrough_dataset")
+def _o6(spark, d):
+    m = _mp(spark, d)
+    return O.build_sellthrough_dataset(m.cars, m.events)
