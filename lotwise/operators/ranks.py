@@ -125,3 +125,29 @@ def group_row_number(df: DataFrame, group: list[str], order: list[Column], out:
     return (ranked.join(first, group, "inner")
                   .withColumn(out, (F.col("__grn") - F.col("__first") + 1).cast("int"))
                   .drop("__grn", "__first"))
+
+
+def global_prefix_sum(df: DataFrame, order: list[Column], values: list[str],
+                      n_partitions: int | None = None) -> DataFrame:
+    """Inclusive running sums of ``values`` in the global ``order`` (unique),
+    without a single-partition window: range partitions are numbered and
+    checkpointed as in ``global_row_number``; per-partition totals give
+    offsets (one row per partition, broadcast) and a window partitioned by the
+    partition id gives the running sum inside it.  Output ``cum_<value>``."""
+    parts = _n_partitions(df, n_partitions)
+    checkpoint_dir(df.sparkSession)
+    ranged = (df.repartitionByRange(parts, *order)
+                .sortWithinPartitions(*order)
+                .withColumn(_PID, F.spark_partition_id())
+                .withColumn(_LOCAL, F.monotonically_increasing_id()
+                            - F.shiftleft(F.col(_PID).cast("long"), 33))
+                .checkpoint(eager=True))
+    totals = ranged.groupBy(_PID).agg(*[F.sum(v).alias(f"__t_{v}") for v in values])
+    prior = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(_PID, *[F.coalesce(F.sum(f"__t_{v}").over(prior), F.lit(0)).alias(f"__o_{v}")
+                                    for v in values])
+    inside = Window.partitionBy(_PID).orderBy(_LOCAL).rowsBetween(Window.unboundedPreceding, 0)
+    out = ranged.select("*", *[F.sum(v).over(inside).alias(f"__w_{v}") for v in values])
+    out = out.join(F.broadcast(offsets), _PID, "inner")
+    return out.select(*df.columns, *[(F.col(f"__o_{v}") + F.col(f"__w_{v}")).alias(f"cum_{v}")
+                                     for v in values])

@@ -292,3 +292,99 @@ def _o5(spark, d):
 def _o6(spark, d):
     m = _mp(spark, d)
     return O.build_sellthrough_dataset(m.cars, m.events)
+
+
+# ------------------------------------------------- metrics, ranking, drift (S, R, T)
+from pyspark.sql import functions as F  # noqa: E402
+
+from lotwise.plans import drift as T  # noqa: E402
+from lotwise.plans import evalmetrics as S  # noqa: E402
+from lotwise.plans import ranking as R  # noqa: E402
+
+
+def scored_impressions(spark, d):
+    """Impressions scored by the logged list order: y = clicked, p = 1/position."""
+    imp = _mp(spark, d).impressions
+    return imp.select(F.concat_ws("|", "session_id", F.col("list_position").cast("string"), "car_id",
+                                  F.col("clicked").cast("int").cast("string")).alias("row_key"),
+                      F.col("clicked").cast("int").alias("y"),
+                      (F.lit(1.0) / F.col("list_position")).alias("p"))
+
+
+def price_baseline_scored(spark, d):
+    """Sold cars with the make+model median fair-price baseline as prediction."""
+    fair = L.segment_fair_price(_mp(spark, d).cars).filter(F.col("sold_flag"))
+    return fair.select("car_id", "body_type", "city", F.col("transaction_price").alias("y"),
+                       F.col("fair_price").alias("p"))
+
+
+@register("S2_regression_metrics")
+def _s2(spark, d):
+    return S.regression_metrics(price_baseline_scored(spark, d))
+
+
+@register("S17_error_slices_by_body")
+def _s17(spark, d):
+    return S.regression_metrics(price_baseline_scored(spark, d), by=["body_type"]).select("body_type", "mae", "n")
+
+
+@register("S3_interval_metrics")
+def _s3(spark, d):
+    df = price_baseline_scored(spark, d)
+    return S.interval_metrics(df.withColumn("lo", F.col("p") * 0.9).withColumn("hi", F.col("p") * 1.1))
+
+
+@register("S5_classification_metrics")
+def _s5(spark, d):
+    return S.classification_metrics(scored_impressions(spark, d), threshold=0.5, tiebreak="row_key")
+
+
+@register("S7_lift_table")
+def _s7(spark, d):
+    return S.lift_table(scored_impressions(spark, d), tiebreak="row_key")
+
+
+@register("S8_threshold_table")
+def _s8(spark, d):
+    return S.threshold_table(scored_impressions(spark, d))
+
+
+@register("S9_reliability_curve")
+def _s9(spark, d):
+    return S.reliability_curve(scored_impressions(spark, d))
+
+
+@register("S11_bootstrap_ctr_ci")
+def _s11(spark, d):
+    imp = _mp(spark, d).impressions
+    return S.bootstrap_ratio_ci(imp.withColumn("c", F.col("clicked").cast("int")), "user_id", "c")
+
+
+def ranked_impressions(spark, d):
+    m = _mp(spark, d)
+    imp = R.with_relevance(m.impressions).withColumn("logged_score", -F.col("list_position").cast("double"))
+    return imp.join(m.cars.select("car_id", "model_popularity", "inspection_score", "listed_price"),
+                    "car_id", "left"), m.cars
+
+
+@register("R9_ranking_metrics_logged_order")
+def _r9(spark, d):
+    imp, cars = ranked_impressions(spark, d)
+    return R.ranking_metrics(imp, "logged_score", cars, tiebreak=["list_position", "relevance"])
+
+
+@register("R10_strategy_comparison")
+def _r10(spark, d):
+    imp, cars = ranked_impressions(spark, d)
+    imp = imp.withColumn("cheapest_first", -F.col("listed_price"))
+    return R.compare_strategies(imp, {"logged_order": "logged_score", "popularity": "model_popularity",
+                                      "inspection": "inspection_score", "cheapest_first": "cheapest_first"}, cars,
+                                 tiebreak=["list_position", "relevance"])
+
+
+@register("T6_drift_report_sellthrough")
+def _t6(spark, d):
+    m = _mp(spark, d)
+    ds = O.build_sellthrough_dataset(m.cars, m.events)
+    return T.drift_report({"sellthrough": (ds, O.SELL_FEATURES)}, order={"sellthrough": ["observation_date", "car_id",
+                                                                                        "snapshot_age"]})
