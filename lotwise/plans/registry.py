@@ -388,3 +388,52 @@ def _t6(spark, d):
     ds = O.build_sellthrough_dataset(m.cars, m.events)
     return T.drift_report({"sellthrough": (ds, O.SELL_FEATURES)}, order={"sellthrough": ["observation_date", "car_id",
                                                                                         "snapshot_age"]})
+
+
+# ------------------------------------------------------ intent and recommendations (P, Q)
+import datetime as _dt  # noqa: E402
+
+from lotwise.plans import intent as P  # noqa: E402
+from lotwise.plans import recs as Q  # noqa: E402
+
+REC_AS_OF = _dt.date(2024, 2, 1)
+
+
+def _sorted_json(col):
+    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(col))))
+
+
+@register("P1_intent_distributions")
+def _p1(spark, d):
+    m = _mp(spark, d)
+    anchors = P.current_sessions(m.events).withColumnRenamed("session_id", "current_session")
+    return P.distributions(m.events, m.cars, anchors)
+
+
+@register("P6_intent_profiles")
+def _p6(spark, d):
+    m = _mp(spark, d)
+    p = P.infer_profiles(m.events, m.cars)
+    return p.select("user_id", "session_id", "ref_time", "n_events",
+                    _sorted_json(F.col("hard_constraints")).alias("hard_constraints"),
+                    _sorted_json(F.col("soft_preferences")).alias("soft_preferences"),
+                    _sorted_json(F.col("entropy_by_dim")).alias("entropy_by_dim"),
+                    "session_entropy", "confidence")
+
+
+@register("P7_budget_from_events")
+def _p7(spark, d):
+    m = _mp(spark, d)
+    return P.budget_from_events(m.events, m.cars)
+
+
+@register("Q9_popularity_by_car")
+def _q9(spark, d):
+    m = _mp(spark, d)
+    return Q.popularity_by_car(m.events, m.cars)
+
+
+@register("Q14_batch_recommendations")
+def _q14(spark, d):
+    m = _mp(spark, d)
+    return Q.recommend_all(m.users, m.events, m.cars, REC_AS_OF)
