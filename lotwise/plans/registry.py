@@ -437,3 +437,83 @@ def _q9(spark, d):
 def _q14(spark, d):
     m = _mp(spark, d)
     return Q.recommend_all(m.users, m.events, m.cars, REC_AS_OF)
+
+
+# ------------------------------------------------------------ models
+from lotwise.plans import models as MD  # noqa: E402
+
+_FITTED: dict = {}
+
+
+def _fitted(spark, d, what):
+    """Fit each model once per (dataset dir, model) in this process."""
+    key = (d, what)
+    if key not in _FITTED:
+        m = _mp(spark, d)
+        if what == "price":
+            ds = O.build_price_dataset(m.cars, m.events).checkpoint(eager=True)
+            _FITTED[key] = MD.train_price_model(ds, O.PRICE_FEATURES, O.PRICE_CAT)
+        elif what == "sellthrough":
+            ds = O.build_sellthrough_dataset(m.cars, m.events).checkpoint(eager=True)
+            _FITTED[key] = MD.train_classifier(ds, "label_sold_30d", O.SELL_FEATURES, O.SELL_CAT,
+                                               ["car_id", "snapshot_age"])
+        elif what == "booking":
+            ds = O.build_booking_dataset(m.impressions, m.sessions, m.users, m.cars, m.events) \
+                .withColumn("__row", F.concat_ws("|", "session_id", "car_id", F.col("observation_date").cast("string"))) \
+                .checkpoint(eager=True)
+            _FITTED[key] = MD.train_classifier(ds, "label_booked", O.BOOKING_FEATURES, O.BOOKING_CAT,
+                                               ["session_id", "car_id", "__row"])
+    return _FITTED[key]
+
+
+@register("S13_price_model_metrics")
+def _s13(spark, d):
+    return MD.price_metrics(_fitted(spark, d, "price"))
+
+
+@register("S18_price_scoring_unsold")
+def _s18(spark, d):
+    m = _mp(spark, d)
+    rows = O.car_base_features(m.cars, with_static_supply=False).filter(~F.col("sold_flag")) \
+        .withColumn("observation_date", F.col("inventory_entry_date").cast("timestamp_ntz"))
+    from lotwise.operators.pit import attach_market_context
+    rows = attach_market_context(rows, m.cars, m.events, "observation_date")
+    out = MD.score_price(_fitted(spark, d, "price"), rows)
+    return out.select("car_id", "listed_price", "predicted_fair_price", "lower_price", "upper_price")
+
+
+@register("S19_sellthrough_model_metrics")
+def _s19s(spark, d):
+    return MD.classifier_metrics(_fitted(spark, d, "sellthrough"), "sellthrough")
+
+
+@register("S19_booking_model_metrics")
+def _s19b(spark, d):
+    return MD.classifier_metrics(_fitted(spark, d, "booking"), "booking")
+
+
+def _all_metrics(spark, d):
+    imp, cars = ranked_impressions(spark, d)
+    rk = R.ranking_metrics(imp, "logged_score", cars, tiebreak=["list_position", "relevance"])
+    cols = [c for c in rk.columns]
+    stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
+    rk_long = rk.selectExpr(f"stack({len(cols)}, {stack}) AS (metric_name, metric_value)") \
+        .withColumn("model", F.lit("ranking")).select("model", "metric_name", "metric_value")
+    return (MD.price_metrics(_fitted(spark, d, "price"))
+            .unionByName(MD.classifier_metrics(_fitted(spark, d, "booking"), "booking"))
+            .unionByName(MD.classifier_metrics(_fitted(spark, d, "sellthrough"), "sellthrough"))
+            .unionByName(rk_long))
+
+
+@register("T7_quality_gates")
+def _t7(spark, d):
+    return T.quality_gates(_all_metrics(spark, d))
+
+
+@register("T8_monitoring_status")
+def _t8(spark, d):
+    m = _mp(spark, d)
+    ds = O.build_sellthrough_dataset(m.cars, m.events)
+    drift = T.drift_report({"sellthrough": (ds, O.SELL_FEATURES)},
+                           order={"sellthrough": ["observation_date", "car_id", "snapshot_age"]})
+    return T.monitoring_status(T.quality_gates(_all_metrics(spark, d)), drift)
