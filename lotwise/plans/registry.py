@@ -161,35 +161,35 @@ def run_all(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
 
 
 # --------------------------------------------------------------- quality (K18, M)
-from lotwise.plans import quality as Q  # noqa: E402
+from lotwise.plans import quality as QC  # noqa: E402
 
 
 @register("K18_data_quality_checks")
 def _k18(spark, d):
     m = _mp(spark, d)
-    return Q.data_quality_checks(m.users, m.sessions, m.events, m.cars, m.impressions)
+    return QC.data_quality_checks(m.users, m.sessions, m.events, m.cars, m.impressions)
 
 
 @register("M1_validate_cars")
 def _m1(spark, d):
-    return Q.validate_cars(_mp(spark, d).cars)
+    return QC.validate_cars(_mp(spark, d).cars)
 
 
 @register("M2_validate_users")
 def _m2(spark, d):
-    return Q.validate_users(_mp(spark, d).users)
+    return QC.validate_users(_mp(spark, d).users)
 
 
 @register("M3_validate_sessions_events")
 def _m3(spark, d):
     m = _mp(spark, d)
-    return Q.validate_sessions_events(m.sessions, m.events, m.users, m.cars, m.campaigns)
+    return QC.validate_sessions_events(m.sessions, m.events, m.users, m.cars, m.campaigns)
 
 
 @register("M4_validate_impressions")
 def _m4(spark, d):
     m = _mp(spark, d)
-    return Q.validate_impressions(m.impressions, m.sessions, m.events, m.cars)
+    return QC.validate_impressions(m.impressions, m.sessions, m.events, m.cars)
 
 
 # --------------------------------------------------------------------- GA4 (N)
@@ -394,7 +394,7 @@ def _t6(spark, d):
 import datetime as _dt  # noqa: E402
 
 from lotwise.plans import intent as P  # noqa: E402
-from lotwise.plans import recs as Q  # noqa: E402
+from lotwise.plans import recs as RC  # noqa: E402
 
 REC_AS_OF = _dt.date(2024, 2, 1)
 
@@ -430,13 +430,13 @@ def _p7(spark, d):
 @register("Q9_popularity_by_car")
 def _q9(spark, d):
     m = _mp(spark, d)
-    return Q.popularity_by_car(m.events, m.cars)
+    return RC.popularity_by_car(m.events, m.cars)
 
 
 @register("Q14_batch_recommendations")
 def _q14(spark, d):
     m = _mp(spark, d)
-    return Q.recommend_all(m.users, m.events, m.cars, REC_AS_OF)
+    return RC.recommend_all(m.users, m.events, m.cars, REC_AS_OF)
 
 
 # ------------------------------------------------------------ models
