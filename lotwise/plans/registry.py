@@ -517,3 +517,103 @@ def _t8(spark, d):
     drift = T.drift_report({"sellthrough": (ds, O.SELL_FEATURES)},
                            order={"sellthrough": ["observation_date", "car_id", "snapshot_age"]})
     return T.monitoring_status(T.quality_gates(_all_metrics(spark, d)), drift)
+
+
+# ------------------------------------------------------ exploration
+from lotwise.plans import exploration as X  # noqa: E402
+
+
+@register("D20_missing_share_cars")
+def _d20(spark, d):
+    return X.missing_share(_mp(spark, d).cars)
+
+
+@register("D21_monthly_event_volume")
+def _d21(spark, d):
+    return X.monthly_volume(_mp(spark, d).events)
+
+
+@register("D22_retention_matrix")
+def _d22(spark, d):
+    m = _mp(spark, d)
+    return X.retention_matrix(A.cohort_retention(m.users, m.sessions, m.events))
+
+
+@register("D23_aging_rollup")
+def _d23(spark, d):
+    return X.aging_rollup(A.inventory_aging(_mp(spark, d).cars))
+
+
+@register("D24_table_row_counts")
+def _d24(spark, d):
+    return X.table_row_counts(_mp(spark, d).as_dict())
+
+
+@register("D25_inspection_histogram")
+def _d25(spark, d):
+    return X.histogram(_mp(spark, d).cars, "inspection_score", 30)
+
+
+@register("F6_most_active_users")
+def _f6(spark, d):
+    return X.most_active_users(_mp(spark, d).events)
+
+
+@register("C17_latest_snapshot_lookup")
+def _c17(spark, d):
+    m = _mp(spark, d)
+    snaps = O.build_sellthrough_dataset(m.cars, m.events)
+    req = m.cars.select("car_id", F.lit(20).alias("snapshot_age"))
+    return X.latest_snapshot_at_or_before(snaps, req)
+
+
+@register("L13_price_features_as_of_latest")
+def _l13(spark, d):
+    m = _mp(spark, d)
+    cand = m.cars.drop("market_demand_index", "local_supply_index")
+    out = X.price_features_as_of_latest(cand, m.cars, m.events)
+    return out.select("car_id", "observation_date", "vehicle_age", "kilometres_per_year", "inventory_entry_month",
+                      "model_popularity", "market_demand_index", "local_supply_index")
+
+
+# ------------------------------------------------------ ranking dataset and ranker
+from lotwise.plans import ranking_data as RD  # noqa: E402
+
+_RANKING: dict = {}
+
+
+def _ranking_dataset(spark, d):
+    if d not in _RANKING:
+        m = _mp(spark, d)
+        booking = _fitted(spark, d, "booking")
+        b_scores = MD.score_classifier(booking, booking["test"].unionByName(booking["train"])
+                                       .unionByName(booking["validation"])) \
+            .select("session_id", "car_id", F.col("probability").alias("booking_probability"))
+        events = m.events
+        uf, cf = RC.fit_collaborative(events)
+        ds = RD.build_ranking_dataset(m.impressions, m.cars, m.users, events, _fitted(spark, d, "price"),
+                                      b_scores, (uf, cf))
+        _RANKING[d] = ds.checkpoint(eager=True)
+    return _RANKING[d]
+
+
+@register("R3_ranking_dataset")
+def _r3(spark, d):
+    ds = _ranking_dataset(spark, d)
+    return ds.select("session_id", "user_id", "car_id", "list_position", "observation_date", "relevance", "ipw",
+                     "list_position_propensity", "booking_probability", "predicted_fair_price", *R.RANK_FEATURES)
+
+
+@register("R10_ranker_strategy_comparison")
+def _r10b(spark, d):
+    return RD.ranking_evaluation(_ranking_dataset(spark, d), _mp(spark, d).cars)["comparison"]
+
+
+@register("R11_blend_search")
+def _r11(spark, d):
+    return RD.ranking_evaluation(_ranking_dataset(spark, d), _mp(spark, d).cars, light=True)["blend_search"]
+
+
+@register("L9_ablation_study")
+def _l9(spark, d):
+    return RD.ablation_study(_ranking_dataset(spark, d), _mp(spark, d).cars)

@@ -7,8 +7,6 @@ written as DuckDB CTEs in ``lotwise.plans.oracle`` for the correctness gate.
 """
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -264,15 +262,41 @@ def impressions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(df, "impressions")
 
 
-@dataclass
 class Marketplace:
-    """The six canonical tables, lazily defined."""
-    users: DataFrame
-    cars: DataFrame
-    campaigns: DataFrame
-    sessions: DataFrame
-    events: DataFrame
-    impressions: DataFrame
+    """The six canonical tables.  Each is built on first access, so a query
+    that never touches sessions never pays for sessionising the events."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._dir, self._cache = spark, sf_dir, {}
+
+    def _get(self, name, build):
+        if name not in self._cache:
+            self._cache[name] = build()
+        return self._cache[name]
+
+    @property
+    def users(self) -> DataFrame:
+        return self._get("users", lambda: users(self._spark, self._dir))
+
+    @property
+    def cars(self) -> DataFrame:
+        return self._get("cars", lambda: cars(self._spark, self._dir))
+
+    @property
+    def campaigns(self) -> DataFrame:
+        return self._get("campaigns", lambda: campaigns(self._spark, self._dir))
+
+    @property
+    def events(self) -> DataFrame:
+        return self._get("events", lambda: events(self._spark, self._dir))
+
+    @property
+    def sessions(self) -> DataFrame:
+        return self._get("sessions", lambda: sessions_from_events(self.events))
+
+    @property
+    def impressions(self) -> DataFrame:
+        return self._get("impressions", lambda: impressions(self._spark, self._dir))
 
     def as_dict(self) -> dict[str, DataFrame]:
         return dict(users=self.users, cars=self.cars, campaigns=self.campaigns,
@@ -280,7 +304,4 @@ class Marketplace:
 
 
 def load_marketplace(spark: SparkSession, sf_dir: str) -> Marketplace:
-    ev = events(spark, sf_dir)
-    return Marketplace(users=users(spark, sf_dir), cars=cars(spark, sf_dir),
-                       campaigns=campaigns(spark, sf_dir), sessions=sessions_from_events(ev),
-                       events=ev, impressions=impressions(spark, sf_dir))
+    return Marketplace(spark, sf_dir)
