@@ -76,9 +76,13 @@ def start_ga4_stream(spark: SparkSession, input_dir: str, output_dir: str, check
     if fmt == "csv":
         reader = reader.option("header", True)
     raw = reader.format(fmt).load(input_dir)
+    # watermarks need an instant (TIMESTAMP); the session zone is UTC, so the
+    # cast keeps the wall clock
     events = (canonicalise_stream(raw)
-              .withWatermark("event_timestamp", watermark)
-              .dropDuplicatesWithinWatermark(["event_id"]))
+              .withColumn("__event_instant", F.col("event_timestamp").cast("timestamp"))
+              .withWatermark("__event_instant", watermark)
+              .dropDuplicatesWithinWatermark(["event_id"])
+              .drop("__event_instant"))
     writer = (events.writeStream.format("parquet").option("path", output_dir)
               .option("checkpointLocation", checkpoint).partitionBy("event_date").outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -1,17 +1,15 @@
 """The streaming canonicaliser equals the batch one on the same input and
 drops duplicate deliveries."""
 import os
-import tempfile
 
 import pandas as pd
 
-from lotwise.session import checkpoint_dir
 from lotwise.sources.ga4 import canonicalise
 from lotwise.streaming.ga4_stream import GA4_STREAM_SCHEMA, start_ga4_stream
 
 
-def test_stream_matches_batch_and_dedups(spark):
-    base = tempfile.mkdtemp(prefix="ga4-stream-", dir=checkpoint_dir(spark))
+def test_stream_matches_batch_and_dedups(spark, tmp_path):
+    base = str(tmp_path)
     src, out, ckpt = (os.path.join(base, x) for x in ("in", "out", "ckpt"))
     os.makedirs(src)
     pdf = pd.DataFrame({
