@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from lotwise.functions import clip_lower, epoch_seconds
 from lotwise.operators.pit import attach_market_context, running_totals
+from lotwise.session import checkpoint_dir
 
 PRICE_FEATURES = [
     "make", "model", "variant", "body_type", "fuel_type", "transmission",
@@ -126,7 +127,10 @@ def build_booking_dataset(impressions: DataFrame, sessions: DataFrame, users: Da
     car = cars_f.select("car_id", *[F.col(c).alias(c + "_car" if c in imp.columns else c) for c in c_cols])
     imp = imp.join(car, "car_id", "left")
     imp = imp.withColumn("observation_date", F.col("event_timestamp").cast("timestamp_ntz"))
-    imp = attach_market_context(imp, cars, events, "observation_date")
+    # the joined impression base feeds four branches (context, history,
+    # decision time, output): materialise it once and cut the lineage
+    checkpoint_dir(imp.sparkSession)
+    imp = attach_market_context(imp.checkpoint(eager=True), cars, events, "observation_date")
 
     # Prior sessions / bookings strictly before this session (sessions that had
     # impressions), as running totals per user over (session_start, sequence).
@@ -191,7 +195,8 @@ def build_sellthrough_dataset(cars: DataFrame, events: DataFrame,
              .withColumn("label_sold_30d",
                          (F.col("sold_flag") & (F.col("days_in_inventory") <= F.col("snapshot_age") + 30))
                          .cast("int")))
-    snaps = attach_market_context(snaps, cars, events, "snapshot_date")
+    checkpoint_dir(snaps.sparkSession)
+    snaps = attach_market_context(snaps, cars, events, "snapshot_date").checkpoint(eager=True)
 
     ts = F.col("event_timestamp")
     day_ceiling = F.when(ts == F.to_date(ts).cast("timestamp_ntz"), F.to_date(ts)) \
