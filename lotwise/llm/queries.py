@@ -5,13 +5,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwise.llm import exact_dedup as dedup
-from lotwise.llm import preference, sharding
+from lotwise.llm import preference, sentencepiece_unigram, sharding, token_counts
+
+#: Vocabulary files, by the name under which the tokenizer package has them.
+BPE_FILE, PIECE_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
+
+
+def _tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = token_counts.Vocabulary.from_file(_tokenizer_path(BPE_FILE))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, vocabulary)
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = sharding.byte_shards(_table(spark, sf_dir, "documents"))
     return shards.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"),
@@ -34,6 +49,21 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
                       mask("rejected").alias("rejected_mask"))
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = sentencepiece_unigram.Pieces.from_file(_tokenizer_path(PIECE_FILE))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = sentencepiece_unigram.decode(
+        sentencepiece_unigram.encode(docs, pieces), pieces)
+    first_byte = pieces.kinds.index("byte")
+    return coded.select(
+        "doc_id", F.size("piece_ids").cast("long").alias("n_pieces"),
+        F.size(F.filter("piece_ids", lambda i: i.between(first_byte, first_byte + 255)))
+        .cast("long").alias("n_byte_pieces"),
+        F.xxhash64("piece_ids").alias("ids_hash"),
+        (F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), "\u2581", " "))
+        .alias("round_trip"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup.exact_dedup(
         _table(spark, sf_dir, "documents"),
@@ -42,5 +72,5 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op4_sharding, op6_chat_formatting, op8_exact_dedup,
+    op3_token_counts, op4_sharding, op6_chat_formatting, op7_sentencepiece, op8_exact_dedup,
 )}
