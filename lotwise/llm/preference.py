@@ -76,20 +76,23 @@ def format_preferences(pairs: DataFrame, convs: DataFrame,
                        trained_role: str = TRAINED_ROLE) -> DataFrame:
     """``chosen_id, rejected_id, n_prompt_turns, prompt, chosen, rejected``; the last two
     are arrays of (segment, train)."""
-    joined = (pairs
-              .join(convs.select(F.col("conv_id").alias("chosen_id"),
-                                 F.col("turns").alias("a")), "chosen_id")
-              .join(convs.select(F.col("conv_id").alias("rejected_id"),
-                                 F.col("turns").alias("b")), "rejected_id", "left"))
+    chosen = pairs.join(convs.select(F.col("conv_id").alias("chosen_id"),
+                                     F.col("turns").alias("a")), "chosen_id")
+    rejected = convs.select(F.col("conv_id").alias("rejected_id"), F.col("turns").alias("b"))
+    # Rows without partner stay out of the join: a null key is a hot key.
+    alone = chosen.where("rejected_id is null").withColumn(
+        "b", F.lit(None).cast(rejected.schema["b"].dataType))
+    joined = (chosen.where("rejected_id is not null").join(rejected, "rejected_id")
+              .unionByName(alone))
     both = F.least(F.size("a"), F.size("b"))
     same = F.transform(F.sequence(F.lit(1), both),
                        lambda i: F.element_at("a", i) == F.element_at("b", i))
     common = F.when(both == 0, 0).otherwise(
         F.coalesce(F.nullif(F.array_position(same, False), F.lit(0)) - 1, both))
     first_trained = F.array_position(F.transform("a", lambda t: t["role"] == trained_role), True)
-    alone = F.when(first_trained > 0, first_trained - 1).otherwise(F.size("a"))
+    before_reply = F.when(first_trained > 0, first_trained - 1).otherwise(F.size("a"))
     cut = joined.withColumn("n_prompt_turns",
-                            F.when(F.col("b").isNull(), alone).otherwise(common).cast("int"))
+                            F.when(F.col("b").isNull(), before_reply).otherwise(common).cast("int"))
     return cut.select(
         "chosen_id", "rejected_id", "n_prompt_turns",
         _render(F.slice("a", F.lit(1), F.col("n_prompt_turns"))).alias("prompt"),

@@ -5,7 +5,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwise.llm import exact_dedup as dedup
-from lotwise.llm import preference, sentencepiece_unigram, sharding, token_counts
+from lotwise.llm import (language_id, preference, sentencepiece_unigram, sharding, token_counts,
+                         url_filter)
 
 #: Vocabulary files, by the name under which the tokenizer package has them.
 BPE_FILE, PIECE_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -21,6 +22,25 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    model = language_id.learn(docs.where(~F.coalesce(held_out, F.lit(False))))
+    return language_id.predict(
+        docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
+
+
+#: The rules of the contract of op2.
+URL_RULES = [url_filter.Rule("block", "net/"), url_filter.Rule("allow", "example.net/en/"),
+             url_filter.Rule("block", "example.com/de/"), url_filter.Rule("allow", "org/fr/")]
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    model = url_filter.learn(pages, URL_RULES)
+    return url_filter.judge(pages, URL_RULES, model).drop("url")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = token_counts.Vocabulary.from_file(_tokenizer_path(BPE_FILE))
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -72,5 +92,5 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_token_counts, op4_sharding, op6_chat_formatting, op7_sentencepiece, op8_exact_dedup,
+    op1_language_id, op2_url_filter, op3_token_counts, op4_sharding, op6_chat_formatting, op7_sentencepiece, op8_exact_dedup,
 )}
