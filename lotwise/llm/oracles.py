@@ -65,3 +65,37 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = max(doc_id) OVER g AS kept, text_sha256
 FROM hashed WINDOW g AS (PARTITION BY text_sha256)
 """
+
+ORACLE["op5_decontamination"] = r"""
+WITH doc_words AS (
+  SELECT doc_id, regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents),
+item_words AS (
+  SELECT item_id, regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark),
+spans AS (
+  SELECT item_id, words, least(13, len(words)) AS size FROM item_words WHERE len(words) > 0),
+windows AS (
+  SELECT DISTINCT item_id, size, array_to_string(words[p:p + size - 1], ' ') AS w
+  FROM (SELECT item_id, words, size, unnest(range(1, len(words) - size + 2)) AS p FROM spans)),
+doc_windows AS (
+  SELECT doc_id, size, p, array_to_string(words[p:p + size - 1], ' ') AS w
+  FROM (SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS p
+        FROM doc_words CROSS JOIN (SELECT DISTINCT size FROM windows) WHERE len(words) >= size)),
+hits AS (SELECT doc_id, item_id, p, d.size AS size FROM doc_windows d JOIN windows USING (size, w)),
+hit_words AS (
+  SELECT doc_id, count(DISTINCT position) AS n_hit
+  FROM (SELECT doc_id, unnest(range(p, p + size)) AS position FROM hits) GROUP BY doc_id),
+hit_items AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items,
+         string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+  FROM hits GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM doc_words LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lotwise.llm import decontaminate as decontamination
 from lotwise.llm import exact_dedup as dedup
 from lotwise.llm import (language_id, preference, sentencepiece_unigram, sharding, token_counts,
                          url_filter)
@@ -53,6 +54,14 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontamination.decontaminate(_table(spark, sf_dir, "documents"),
+                                        _table(spark, sf_dir, "benchmark"))
+    return out.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     convs = preference.conversations(_table(spark, sf_dir, "conversations"))
     out = preference.format_preferences(preference.pairs_by_opening(convs), convs)
@@ -92,5 +101,6 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_language_id, op2_url_filter, op3_token_counts, op4_sharding, op6_chat_formatting, op7_sentencepiece, op8_exact_dedup,
+    op1_language_id, op2_url_filter, op3_token_counts, op4_sharding,
+    op5_decontamination, op6_chat_formatting, op7_sentencepiece, op8_exact_dedup,
 )}
