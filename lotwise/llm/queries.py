@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lotwise.llm import decontaminate as decontamination
 from lotwise.llm import exact_dedup as dedup
-from lotwise.llm import (language_id, preference, sentencepiece_unigram, sharding, token_counts,
+from lotwise.llm import (language_id, near_dedup, preference, sentencepiece_unigram, sharding, token_counts,
                          url_filter)
 
 #: Vocabulary files, by the name under which the tokenizer package has them.
@@ -100,7 +100,14 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = near_dedup.near_dedup(_table(spark, sf_dir, "documents"), shingle_words=4)
+    return out.select("doc_id", "n_shingles", "component_id",
+                      F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
+                      .alias("kept"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_url_filter, op3_token_counts, op4_sharding,
-    op5_decontamination, op6_chat_formatting, op7_sentencepiece, op8_exact_dedup,
+    op5_decontamination, op6_chat_formatting, op7_sentencepiece, op8_exact_dedup, op9_near_dedup,
 )}
