@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lotwise.llm import decontaminate as decontamination
 from lotwise.llm import exact_dedup as dedup
-from lotwise.llm import (language_id, near_dedup, preference, sentencepiece_unigram, sharding, token_counts,
+from lotwise.llm import (language_id, near_dedup, pii, preference, sentencepiece_unigram, sharding, token_counts,
                          url_filter)
 
 #: Vocabulary files, by the name under which the tokenizer package has them.
@@ -107,7 +107,24 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       .alias("kept"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.find_pii(_table(spark, sf_dir, "documents"))
+    names = F.array(*map(F.lit, pii.KINDS))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def written(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+            ":", F.get(names, s["kind"]), s["start"], s["end"])), ",")
+
+    def count(kind):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
+
+    return out.select("doc_id", *[count(i).alias(f"n_{k}") for i, k in enumerate(pii.KINDS)],
+                      F.sha2(written(base), 256).alias("base_sha256"),
+                      written(F.col("spans")).alias("spans"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_url_filter, op3_token_counts, op4_sharding,
-    op5_decontamination, op6_chat_formatting, op7_sentencepiece, op8_exact_dedup, op9_near_dedup,
+    op5_decontamination, op6_chat_formatting, op7_sentencepiece, op8_exact_dedup, op9_near_dedup, op10_pii,
 )}
