@@ -83,11 +83,8 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = sentencepiece_unigram.decode(
         sentencepiece_unigram.encode(docs, pieces), pieces)
-    first_byte = pieces.kinds.index("byte")
     return coded.select(
         "doc_id", F.size("piece_ids").cast("long").alias("n_pieces"),
-        F.size(F.filter("piece_ids", lambda i: i.between(first_byte, first_byte + 255)))
-        .cast("long").alias("n_byte_pieces"),
         F.xxhash64("piece_ids").alias("ids_hash"),
         (F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), "\u2581", " "))
         .alias("round_trip"))

@@ -208,7 +208,11 @@ def decode(docs: DataFrame, pieces: Pieces, ids_col: str = "piece_ids",
     def run(batches):
         codec = UnigramCodec(shared.value)
         for batch in batches:
-            texts = [codec.decode(ids.as_py() or []) for ids in batch.column(at)]
+            column = batch.column(at)
+            ids = column.values.fill_null(0).to_numpy().tolist()
+            ends = column.offsets.to_pylist()
+            texts = [codec.decode(ids[a:b]) if there else "" for a, b, there in
+                     zip(ends, ends[1:], column.is_valid().to_pylist())]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
                                              names=[*batch.schema.names, out_col])
 
