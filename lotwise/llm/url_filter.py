@@ -121,7 +121,8 @@ def learn(urls: DataFrame, rules: list[Rule], url_col: str = "url", folds: int =
 def equal_error_threshold(histogram: list[tuple[str, int, int]]) -> float:
     """The bin edge with the least mean of both classes' error rates; of equal ones the
     nearest to 0."""
-    steps = sorted({s for _, s, _ in histogram} | {s + 1 for _, s, _ in histogram})
+    steps = sorted({edge for _, s, _ in histogram for edge in (s, s + 1)})
+    steps += [(a + b) // 2 for a, b in zip(steps, steps[1:])]
     total = {x: sum(n for label, _, n in histogram if label == x) for x in (ALLOW, BLOCK)}
     if not all(total.values()):
         return 0.0
