@@ -13,11 +13,13 @@ ASCII white space).  Documents whose sets have a Jaccard similarity of at least
 3. Classes that share a band hash are candidates.  A star round verifies each class against
    one hub only: among the least classes of its bands the one whose sketch is closest.
    It links large groups with one pair for each member.
-4. Pairs within a band that are still in different components are all compared by
-   sketch, in blocks of bounded size, and verified if their sketches leave a chance.
-   Whatever the size of a band, each task holds two blocks.
-5. A pair is verified on the full sets, which a second scan makes for the classes
-   concerned alone (a bitmap of fixed size lets others pass by).
+4. Pairs within a band that are still in different components are all compared where they
+   meet, in blocks of bounded size: by sketch first, on the full sets if the sketches leave a
+   chance, each pair in the first band that it shares.  Only links that join components of
+   the block leave the task, fewer than it has rows, so a group of thousands of
+   documents just below the threshold makes no table of pairs.
+5. Full sets come from a second scan, for classes that share a band hash with another one
+   (a bitmap of fixed size lets the others pass by).
 
 With 32 bands of 5 rows a pair at 0.8 fails to be a candidate with a probability of 3e-6.
 The sketch rejects a pair only beyond ``MAX_DIFFERING`` estimated differing samples: at 0.8, 32 of 160
@@ -46,7 +48,7 @@ BANDS, ROWS = 32, 5
 SKETCH_BITS = 512
 MAX_DIFFERING = 68
 FILTER_BITS = 1 << 20
-BLOCK = 512
+BLOCK = 1024
 SHINGLES_AT_ONCE = 1 << 15
 
 WORD = shingles.byte_class(lambda b: b != 0x20 and not 0x09 <= b <= 0x0D)
@@ -152,11 +154,9 @@ def _differing_bits(a: str, b: str) -> Column:
                        F.lit(0), lambda s, x: s + x)
 
 
-def _verify(pairs: DataFrame, docs: DataFrame, size: int, percent: int,
-            filter_bits: int) -> DataFrame:
-    """The pairs ``a, b`` of rows whose full sets are similar enough."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("row_id")).distinct().checkpoint()
-    likely = docs.where(may_contain(key_bitmap(wanted, ["row_id"], filter_bits),
+def _full_sets(wanted: DataFrame, docs: DataFrame, size: int, filter_bits: int) -> DataFrame:
+    """``node, shingles`` of the rows ``wanted.node``, made from their texts again."""
+    likely = docs.where(may_contain(key_bitmap(wanted, ["node"], filter_bits),
                                     [F.col("row_id")], filter_bits))
 
     def make(batches):
@@ -164,10 +164,13 @@ def _verify(pairs: DataFrame, docs: DataFrame, size: int, percent: int,
             own = [s.tobytes() for block in shingles.text_blocks(_texts(batch, 2))
                    for s in sets(block, size)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())],
-                                             names=["row_id", "shingles"])
+                                             names=["node", "shingles"])
 
-    full = likely.mapInArrow(make, "row_id long, shingles binary").join(wanted, "row_id")
+    return likely.mapInArrow(make, "node long, shingles binary").join(wanted, "node")
 
+
+def _verify(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a, b`` whose full sets are similar enough."""
     def compare(batches):
         for batch in batches:
             keep = []
@@ -179,24 +182,67 @@ def _verify(pairs: DataFrame, docs: DataFrame, size: int, percent: int,
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(kept),
                                               batch.column("b").filter(kept)], names=["a", "b"])
 
-    full = full.checkpoint()
-    both = (pairs.join(full.select(F.col("row_id").alias("a"), F.col("shingles").alias("x")), "a")
-            .join(full.select(F.col("row_id").alias("b"), F.col("shingles").alias("y")), "b"))
-    return both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long").checkpoint()
-
-
-def _open_pairs(members: DataFrame, closest: int) -> DataFrame:
-    """Pairs within a band that are in different components and whose sketches are close.
-
-    ``members``: ``band, node, label, sketch``, of bands with several labels.  A band of n
-    nodes is cut into blocks by a hash of the node; each pair of blocks is a group."""
+    both = (pairs.join(full.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
+            .join(full.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b"))
+    return both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
+
+
+def _links_in_block(part: pa.Table, low: int, high: int, band: int, percent: int) -> list:
+    """Links between the two blocks of a band that join components; see the module's text."""
+    own, node = part["own"].to_numpy(), part["node"].to_numpy()
+    label = np.unique(part["label"].to_numpy(), return_inverse=True)[1]
+    # Unsigned: of a negative number, numpy would count the bits of its absolute value.
+    sketch = np.array(part["sketch"].to_pylist(), np.int64).view(np.uint64)
+    bands = np.array(part["bands"].to_pylist(), np.int64)
+    full = [np.frombuffer(v.as_buffer(), np.uint64) for c in part["shingles"].chunks for v in c]
+    sizes = np.fromiter(map(len, full), np.int64, len(full))
+    ends = np.cumsum(sizes)
+    _, number = np.unique(np.concatenate(full), return_inverse=True)
+    marked = np.zeros(int(number.max()) + 1, np.int64)
+    closest, links = max_count(), []
+    for i in np.flatnonzero(own == low).tolist():
+        near = (own == high) & (label != label[i])
+        if low == high:
+            near[:i + 1] = False
+        near &= np.bitwise_count(sketch ^ sketch[i]).sum(axis=1) <= closest
+        near &= 100 * np.minimum(sizes, sizes[i]) >= percent * np.maximum(sizes, sizes[i])
+        near = np.flatnonzero(near)
+        if len(near):  # each pair is looked at in the first band that it shares
+            same = bands[near] == bands[i]
+            near = near[bands[near, same.argmax(axis=1)] == band]
+        if not len(near):
+            continue
+        mine = number[ends[i] - sizes[i]:ends[i]]
+        marked[mine] = 1
+        for j in near.tolist():
+            if label[j] != label[i]:
+                both = int(marked[number[ends[j] - sizes[j]:ends[j]]].sum())
+                if 100 * both >= percent * (sizes[i] + sizes[j] - both):
+                    links.append((node[i], node[j]))
+                    label[label == label[j]] = label[i]
+        marked[mine] = 0
+    return links
+
+
+def _links_across(members: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` between nodes of a band that are in different components.
+
+    ``members``: ``band, node, label, sketch, bands, shingles``, of bands with several
+    labels.  A band of n nodes is cut into blocks by a hash of the node; each pair of blocks
+    is a group."""
     sizes = members.groupBy("band").agg(F.count("*").alias("n"))
     cut = (members.join(sizes, "band")
            .withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
            .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
            .select("band", F.least("own", "other").alias("low"),
-                   F.greatest("own", "other").alias("high"), "own", "node", "label", "sketch"))
+                   F.greatest("own", "other").alias("high"), "own", "node", "label", "sketch",
+                   "bands", "shingles"))
+
+    def close(key, parts):
+        links = _links_in_block(pa.Table.from_batches(parts), key[1], key[2], key[0], percent)
+        a, b = (pa.array([x[i] for x in links], pa.int64()) for i in (0, 1))
+        return pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
 
     def compare(batches):
         # Rows come sorted by group; a group may go over several batches.
@@ -207,31 +253,15 @@ def _open_pairs(members: DataFrame, closest: int) -> DataFrame:
                      len(groups)]
             for first, last in zip(edges, edges[1:]):
                 if groups[first] != key and held:
-                    yield from close(key, held)
+                    yield close(key, held)
                     held = []
                 key = groups[first]
                 held.append(batch.slice(first, last - first))
         if held:
-            yield from close(key, held)
-
-    def close(key, parts):
-        part = pa.Table.from_batches(parts).combine_chunks()
-        own, node, label = (part[c].to_numpy() for c in ("own", "node", "label"))
-        sketch = np.array(part["sketch"].to_pylist(), np.int64)
-        left = np.flatnonzero(own == key[1])
-        right = np.flatnonzero(own == key[2])
-        for i in left.tolist():
-            count = np.bitwise_count(sketch[right] ^ sketch[i]).sum(axis=1)
-            near = right[(count <= closest) & (label[right] != label[i])]
-            if key[1] == key[2]:
-                near = near[near > i]
-            if len(near):
-                a = np.minimum(node[near], node[i])
-                b = np.maximum(node[near], node[i])
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            yield close(key, held)
 
     dealt = cut.repartition("band", "low", "high").sortWithinPartitions("band", "low", "high")
-    return dealt.mapInArrow(compare, "a long, b long").distinct()
+    return dealt.mapInArrow(compare, "a long, b long")
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -257,26 +287,28 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     hubs = (banded.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
             .where("hub != last").select("band", "hub").checkpoint())
     members = banded.join(hubs, "band").checkpoint()
-    sketches = (nodes.select("node", "sketch")
-                .join(members.select("node").distinct(), "node").checkpoint())
+    wanted = members.select("node").distinct().checkpoint()
+    full = (nodes.join(_full_sets(wanted, slim, shingle_words, filter_bits), "node")
+            .checkpoint())
 
+    sketches = full.select("node", "sketch")
     of_hub = sketches.select(F.col("node").alias("hub"), F.col("sketch").alias("hub_sketch"))
     offers = (members.where("node != hub").select("node", "hub").distinct()
               .join(sketches, "node").join(of_hub, "hub")
               .withColumn("bits", _differing_bits("sketch", "hub_sketch"))
               .where(F.col("bits") <= max_count()))
     star = (offers.groupBy("node").agg(F.min(F.struct("bits", "hub")).alias("best"))
-            .select(F.col("best.hub").alias("a"), F.col("node").alias("b")).checkpoint())
-    links = _verify(star, slim, shingle_words, percent, filter_bits)
+            .select(F.col("best.hub").alias("a"), F.col("node").alias("b")))
+    links = _verify(star, full, percent).checkpoint()
 
     found = components(links)
-    labelled = members.select("band", "node").join(
-        sketches.join(found, "node", "left")
-        .select("node", "sketch", F.coalesce("label", "node").alias("label")), "node")
+    labels = wanted.join(found, "node", "left").select(
+        "node", F.coalesce("label", "node").alias("label")).checkpoint()
+    labelled = members.select("band", "node").join(labels, "node")
     mixed = (labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"))
              .where("low != high").select("band"))
-    rest = _open_pairs(labelled.join(mixed, "band"), max_count()).checkpoint()
-    links = links.union(_verify(rest, slim, shingle_words, percent, filter_bits))
+    rest = labelled.join(mixed, "band").join(full, "node")
+    links = links.union(_links_across(rest, percent)).checkpoint()
 
     return _grouped(profiles, classes, components(links))
 

@@ -133,6 +133,20 @@ def test_near_dedup_small_blocks_and_full_filter(spark, store, words, monkeypatc
         [r[:2] for r in rows], 4)
 
 
+def test_near_dedup_group_around_the_threshold(spark, store, words):
+    """Many similar documents of which some pairs just reach the threshold."""
+    rng, base, rows = random.Random(11), words("g", 120).split(), []
+    for i in range(150):
+        w = list(base)
+        for at in rng.sample(range(len(w)), rng.randint(0, 9)):
+            w[at] = words(("g", i, at), 1)
+        rows.append((i, " ".join(w), "x", 1))
+    want = brute.near([r[:2] for r in rows], 4)
+    assert 5 < len(set(want.values())) < 145
+    got = near_dedup.near_dedup(store(spark, rows, DOCS), shingle_words=4).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
+
+
 def test_near_dedup_null_and_repeated_ids(spark, store, words):
     text = words(9, 40)
     rows = [(None, text), (None, text + " end"), (7, text), (7, text), (5, text), (None, words(8, 9))]
