@@ -9,6 +9,7 @@ which happens in local tests.
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -26,9 +27,27 @@ SEMANTIC_CONF = {
 }
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once per application: functions that run
+    there import it, and neither a cluster's workers nor local ones started elsewhere
+    have it on their path."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        package = os.path.dirname(os.path.abspath(__file__))
+        archive = shutil.make_archive(
+            os.path.join(tempfile.mkdtemp(prefix="lotwise-"), "lotwise"), "zip",
+            os.path.dirname(package), os.path.basename(package))
+        spark.sparkContext.addPyFile(archive)
+        _shipped.add(app)
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in SEMANTIC_CONF.items():
         spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
@@ -43,6 +62,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in SEMANTIC_CONF.items():
         builder = builder.config(key, value)
@@ -53,13 +73,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a scratch one only when none is configured."""
-    current = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(current)
-        return current
-    scratch = tempfile.mkdtemp(prefix="lotwise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", scratch)
-    spark.sparkContext.setCheckpointDir(scratch)
-    return scratch
+    """The shared checkpoint folder that the cluster names in ``spark.checkpoint.dir``.  Only a
+    local session without one gets a scratch folder: executors of a cluster couldn't read
+    each other's."""
+    context = spark.sparkContext
+    current = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not current:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        current = tempfile.mkdtemp(prefix="lotwise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        spark.conf.set("spark.checkpoint.dir", current)
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(current)
+    return current
