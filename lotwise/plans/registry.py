@@ -9,7 +9,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 
 from lotwise.plans import analyses as A
@@ -142,21 +142,26 @@ CATALOGUE_SCHEMA = T.StructType([
 
 
 def run_all(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
-            names: list[str] | None = None) -> DataFrame:
+            names: list[str] | None = None, checks: tuple[str, ...] = ()) -> DataFrame:
     """Run each analysis once, optionally writing each result (A8); returns the
-    catalogue (query, rows, columns, runtime_ms).  The catalogue has one row per
-    query, so building it on the driver is bounded."""
+    catalogue (query, rows, columns, runtime_ms).  Rows are counted while they are written.
+    ``checks`` names queries whose rows are violations: the run raises at the end when one
+    has any.  The catalogue has one row per query, so building it on the driver is bounded."""
     from lotwise.sources.io import write_csv_report
     rows = []
     for name in names or sorted(REGISTRY):
         t0 = time.time()
         df = REGISTRY[name](spark, sf_dir)
         if out_dir:
-            write_csv_report(df, f"{out_dir}/{name}")
-            n = spark.read.option("header", True).csv(f"{out_dir}/{name}").count()
+            seen = Observation(name)
+            write_csv_report(df.observe(seen, F.count(F.lit(1)).alias("n")), f"{out_dir}/{name}")
+            n = seen.get["n"]
         else:
             n = df.count()
         rows.append((name, int(n), len(df.columns), int((time.time() - t0) * 1000)))
+    broken = {name: n for name, n, *_ in rows if name in checks and n}
+    if broken:
+        raise RuntimeError(f"rows in violation: {broken}")
     return spark.createDataFrame(rows, CATALOGUE_SCHEMA)
 
 
@@ -493,12 +498,15 @@ def _s19b(spark, d):
 
 
 def _all_metrics(spark, d):
-    imp, cars = ranked_impressions(spark, d)
-    rk = R.ranking_metrics(imp, "logged_score", cars, tiebreak=["list_position", "relevance"])
-    cols = [c for c in rk.columns]
+    """Metrics of the fitted models; ``ranking`` is the blend chosen on validation, as it
+    ranks the test window, and ``ranking_session_only`` its baseline."""
+    ranked = _ranking_eval(spark, d)["comparison"]
+    names = {"validation_selected_blend": "ranking", "session_only": "ranking_session_only"}
+    cols = [c for c in ranked.columns if c != "strategy"]
+    model = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])[F.col("strategy")]
     stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
-    rk_long = rk.selectExpr(f"stack({len(cols)}, {stack}) AS (metric_name, metric_value)") \
-        .withColumn("model", F.lit("ranking")).select("model", "metric_name", "metric_value")
+    rk_long = (ranked.where(F.col("strategy").isin(list(names))).withColumn("model", model)
+               .selectExpr("model", f"stack({len(cols)}, {stack}) AS (metric_name, metric_value)"))
     return (MD.price_metrics(_fitted(spark, d, "price"))
             .unionByName(MD.classifier_metrics(_fitted(spark, d, "booking"), "booking"))
             .unionByName(MD.classifier_metrics(_fitted(spark, d, "sellthrough"), "sellthrough"))

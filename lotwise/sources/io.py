@@ -69,12 +69,13 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
 
 
 def write_csv_report(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Report sink (A4): small analysis outputs are coalesced to one file."""
-    df.coalesce(1).write.mode(mode).option("header", True).csv(path)
+    """CSV sink (A4): one file per task, with a header each."""
+    df.write.mode(mode).option("header", True).csv(path)
 
 
 def write_json_report(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.coalesce(1).write.mode(mode).json(path)
+    """JSON-lines sink (A5): one file per task."""
+    df.write.mode(mode).json(path)
 
 
 def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> list[str]:
