@@ -85,7 +85,7 @@ m_campaigns AS (
          DATE '2024-01-01' AS start_date, DATE '2024-01-30' AS end_date,
          CAST(3000 + s_suppkey * 100 AS DOUBLE) AS daily_budget,
          CAST(5 + (s_suppkey % 5) * 4 AS DOUBLE) AS cost_per_click
-  FROM supplier WHERE s_suppkey < 10
+  FROM supplier
 ),
 m_events_raw AS (
   SELECT e.*, dayofyear(e.ts) AS doy, n.n_name AS nation_name,
@@ -109,7 +109,7 @@ m_events AS (
          CAST(user_id AS VARCHAR) AS user_id,
          CAST(user_id * 1000 + doy AS VARCHAR) AS session_id,
          ename AS event_name,
-         CASE WHEN carries_car THEN CAST(event_id * 7919 % 200 AS VARCHAR) END AS car_id,
+         CASE WHEN carries_car THEN CAST(event_id * 7919 % (SELECT count(*) FROM part) AS VARCHAR) END AS car_id,
          CASE WHEN ename IN ('view_search_results', 'select_item') THEN CAST(event_id % 10 + 1 AS INTEGER) END AS list_position,
          CASE WHEN ename = 'apply_filter' THEN
            {_case(('body_type', 'transmission', 'max_price', 'fuel_type'), 'event_id % 4')} END AS filter_name,
@@ -123,7 +123,7 @@ m_events AS (
          value AS engagement_time_seconds,
          {_case(_SRC, 'user_id % 4')} AS source,
          {_case(_MED, 'user_id % 4')} AS medium,
-         CAST((user_id + doy) % 10 AS VARCHAR) AS campaign_id,
+         CAST((user_id + doy) % (SELECT count(*) FROM supplier) AS VARCHAR) AS campaign_id,
          {_case(('mobile', 'desktop', 'tablet'), 'user_id % 3')} AS device_category,
          nation_name AS city
   FROM m_events_raw
@@ -154,7 +154,7 @@ m_impressions AS (
          l.l_quantity >= 45 AS booked,
          (l.l_quantity >= 48 AND l.l_returnflag = 'R') AS purchased,
          o.o_orderdate AS event_timestamp,
-         CAST(l.l_orderkey % 10 AS VARCHAR) AS campaign_id
+         CAST(l.l_orderkey % (SELECT count(*) FROM supplier) AS VARCHAR) AS campaign_id
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 )"""
 

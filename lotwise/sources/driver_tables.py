@@ -27,14 +27,18 @@ AGE_BANDS = ("18-25", "26-35", "36-45", "46+")
 TYPE_TO_BODY = (("ECONOMY", "Hatchback"), ("SMALL", "Hatchback"), ("STANDARD", "Sedan"),
                 ("MEDIUM", "Compact SUV"), ("LARGE", "SUV"), ("PROMO", "MPV"))
 N_CAR_CITIES = 5          # cars sit in NATION_0..NATION_4
-N_MAPPED_CARS = 200       # every SF has at least 200 parts
-N_CAMPAIGNS = 10
 
 
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def key_count(spark: SparkSession, sf_dir: str, name: str) -> Column:
+    """Rows of a table whose keys run from 0: the modulus that maps any number to one of
+    its keys, as a scalar subquery."""
+    return driver_table(spark, sf_dir, name).agg(F.count(F.lit(1))).scalar()
+
+
 def _pick(values: tuple[str, ...], index: Column) -> Column:
     """values[index] for a 0-based integer index column (a CASE, codegen'd)."""
     expr = None
@@ -134,7 +138,7 @@ def cars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = driver_table(spark, sf_dir, "supplier").filter(F.col("s_suppkey") < N_CAMPAIGNS)
+    s = driver_table(spark, sf_dir, "supplier")
     k = F.col("s_suppkey")
     src = k % 4
     df = s.select(
@@ -198,7 +202,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
         _sid(uid).alias("user_id"),
         _sid(uid * 1000 + doy).alias("session_id"),
         name.alias("event_name"),
-        F.when(_carries_car(etype, eid), _sid(eid * 7919 % N_MAPPED_CARS)).alias("car_id"),
+        F.when(_carries_car(etype, eid), _sid(eid * 7919 % key_count(spark, sf_dir, "part"))).alias("car_id"),
         F.when(listed, F.lit("search_results")).alias("item_list_id"),
         F.when(listed, (eid % 10 + 1).cast("int")).alias("list_position"),
         F.when(name == "search", F.lower(_pick(BODY_TYPES, eid % 5))).alias("search_term"),
@@ -208,7 +212,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("/"), name).alias("page_location"),
         _pick(tuple(x[0] for x in SOURCES), src).alias("source"),
         _pick(tuple(x[1] for x in SOURCES), src).alias("medium"),
-        _sid((uid + doy) % N_CAMPAIGNS).alias("campaign_id"),
+        _sid((uid + doy) % key_count(spark, sf_dir, "supplier")).alias("campaign_id"),
         _pick(("mobile", "desktop", "tablet"), uid % 3).alias("device_category"),
         F.col("n_name").alias("city"),
     )
@@ -257,7 +261,7 @@ def impressions(spark: SparkSession, sf_dir: str) -> DataFrame:
         (q >= 45).alias("booked"),
         ((q >= 48) & (F.col("l_returnflag") == "R")).alias("purchased"),
         F.col("o_orderdate").alias("event_timestamp"),
-        _sid(F.col("l_orderkey") % N_CAMPAIGNS).alias("campaign_id"),
+        _sid(F.col("l_orderkey") % key_count(spark, sf_dir, "supplier")).alias("campaign_id"),
     )
     return conform(df, "impressions")
 

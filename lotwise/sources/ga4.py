@@ -171,6 +171,8 @@ def flattened_export_from_driver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A flattened GA4-style export built from the driver's ``events`` table
     (ISO-8601 UTC strings, GA4 event names, anonymous ids, msec engagement);
     ``error`` rows become an unmapped name and are dropped by the adapter."""
+    from lotwise.sources.driver_tables import key_count
+
     e = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
     name = None
     for etype, ga4 in GA4_NAME_BY_TYPE:
@@ -183,7 +185,7 @@ def flattened_export_from_driver(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.dayofyear("ts").cast("long").alias("ga_session_id"),
         F.concat(F.lit("E"), F.col("event_id").cast("string")).alias("event_id"),
         F.when(F.col("event_type").isin("view", "click", "purchase"),
-               (F.col("event_id") * 7919 % 200).cast("string")).alias("item_id"),
+               (F.col("event_id") * 7919 % key_count(spark, sf_dir, "part")).cast("string")).alias("item_id"),
         (F.col("value") * 1000.0).alias("engagement_time_msec"),
         F.when(F.col("user_id") % 4 == 0, "google").alias("traffic_source"),
         F.when(F.col("user_id") % 4 == 0, "cpc").alias("traffic_medium"),
