@@ -6,6 +6,19 @@ from collections.abc import Callable, Iterable, Iterator
 BLOCK_CHARS = 2_000_000
 
 
+_held: dict[Callable, tuple] = {}
+
+
+def per_worker(make: Callable, value):
+    """``make(value)``, made once in a Python worker and kept for its later tasks, so that
+    what a machine has compiled or memoised is neither built nor left behind by each task.  Another
+    value (of a newer broadcast) takes its place."""
+    made = _held.get(make)
+    if made is None or made[0] is not value:
+        _held[make] = made = (value, make(value))
+    return made[1]
+
+
 class Memo(dict):
     """``memo[key]`` computes ``function(key)`` once for keys in use.
 
@@ -34,7 +47,7 @@ class BulkMemo(dict):
     ``memo[key]`` then.  Keys beyond ``limit`` push out all that the last call of ``learn``
     didn't name."""
 
-    def __init__(self, function: Callable[[list], list], limit: int = 300_000):
+    def __init__(self, function: Callable[[list], list], limit: int = 200_000):
         super().__init__()
         self.function, self.limit = function, limit
 

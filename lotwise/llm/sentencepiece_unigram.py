@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from lotwise.llm.double_array import DoubleArrayTrie, by_length, spans
-from lotwise.llm.memo import BulkMemo, blocks
+from lotwise.llm.memo import BulkMemo, blocks, per_worker
 
 MARKER = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -70,8 +70,25 @@ class Pieces:
         return cls([model.id_to_piece(i) for i in ids], scores, kinds)
 
 
-class UnigramCodec:
+class PieceDecoder:
+    """Joins pieces to texts."""
+
     def __init__(self, pieces: Pieces):
+        def surface(piece: str, kind: str) -> bytes:
+            if kind == "byte":
+                return bytes([int(piece[3:5], 16)])
+            return piece.replace(MARKER, " ").encode() if kind == "normal" else b""
+
+        self.surface = list(map(surface, pieces.pieces, pieces.kinds))
+
+    def decode(self, ids: list[int]) -> str:
+        text = b"".join(map(self.surface.__getitem__, ids)).decode("utf-8", "replace")
+        return text[1:] if text[:1] == " " else text
+
+
+class UnigramCodec(PieceDecoder):
+    def __init__(self, pieces: Pieces):
+        super().__init__(pieces)
         normal = [i for i, k in enumerate(pieces.kinds) if k == "normal"]
         self.scores = pieces.scores
         self.unknown = min(pieces.scores[i] for i in normal) - UNKNOWN_PENALTY
@@ -87,12 +104,7 @@ class UnigramCodec:
         of_byte = {int(pieces.pieces[i][3:5], 16): i
                    for i, k in enumerate(pieces.kinds) if k == "byte"}
         self.byte_ids = [of_byte[b] for b in range(256)]
-        self.is_byte = np.array([k == "byte" for k in pieces.kinds])
-        byte_of = {i: bytes([b]) for b, i in of_byte.items()}
-        self.surface = [byte_of.get(i) or p.replace(MARKER, " ").encode()
-                        if k != "other" else b"" for i, (p, k) in
-                        enumerate(zip(pieces.pieces, pieces.kinds))]
-        self.packed = BulkMemo(self._pack, limit=500_000)
+        self.packed = BulkMemo(self._pack, limit=300_000)
 
     def segment(self, word: str) -> list[int]:
         """Viterbi over the characters of one word, of any length and content."""
@@ -168,10 +180,6 @@ class UnigramCodec:
         self.packed.learn(set(chain.from_iterable(words)))
         return [b"".join(map(self.packed.__getitem__, w)) for w in words]
 
-    def decode(self, ids: list[int]) -> str:
-        text = b"".join(map(self.surface.__getitem__, ids)).decode("utf-8", "replace")
-        return text[1:] if text[:1] == " " else text
-
 
 def encode(docs: DataFrame, pieces: Pieces, text_col: str = "text",
            ids_col: str = "piece_ids") -> DataFrame:
@@ -183,7 +191,7 @@ def encode(docs: DataFrame, pieces: Pieces, text_col: str = "text",
     at = [c.lower() for c in kept].index(text_col.lower())
 
     def run(batches):
-        codec = UnigramCodec(shared.value)
+        codec = per_worker(UnigramCodec, shared.value)
         for batch in batches:
             texts = (text.as_py() or "" for text in batch.column(at))
             packed = [ids for block in blocks(texts) for ids in codec.encode(block)]
@@ -206,12 +214,12 @@ def decode(docs: DataFrame, pieces: Pieces, ids_col: str = "piece_ids",
     at = [c.lower() for c in kept].index(ids_col.lower())
 
     def run(batches):
-        codec = UnigramCodec(shared.value)
+        decoder = per_worker(PieceDecoder, shared.value)
         for batch in batches:
             column = batch.column(at)
             ids = column.values.fill_null(0).to_numpy().tolist()
             ends = column.offsets.to_pylist()
-            texts = [codec.decode(ids[a:b]) if there else "" for a, b, there in
+            texts = [decoder.decode(ids[a:b]) if there else "" for a, b, there in
                      zip(ends, ends[1:], column.is_valid().to_pylist())]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
                                              names=[*batch.schema.names, out_col])

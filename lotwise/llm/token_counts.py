@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from lotwise.llm.double_array import DoubleArrayTrie, by_length, spans
-from lotwise.llm.memo import BulkMemo, Memo, blocks
+from lotwise.llm.memo import BulkMemo, Memo, blocks, per_worker
 
 CHUNK_CHARS = 1 << 16
 MAX_STATES = 100_000
@@ -217,7 +217,7 @@ class WordTransducer:
         self.ends_blank = re.compile(f"[{BLANKS}]\\Z").search
         self.counter = PreTokenCounter(vocabulary)
         self.pre_token = BulkMemo(self.counter.counts)
-        self.emitted = BulkMemo(self._compile, limit=500_000)
+        self.emitted = BulkMemo(self._compile, limit=300_000)
 
     def _compile(self, segments: list[str]) -> list[int]:
         """The annotations of the transitions on new segments.  Those that begin with a
@@ -316,6 +316,10 @@ class WordTransducer:
         return totals
 
 
+def _machine(vocabulary: tuple) -> WordTransducer:
+    return WordTransducer(Vocabulary(*vocabulary))
+
+
 def count_tokens(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text",
                  limit: int = 1024, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
     """``docs`` without its text but with ``n_bytes, n_tokens, over_limit``."""
@@ -331,7 +335,7 @@ def count_tokens(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text"
     at = len(rest) + 1
 
     def count(batches):
-        machine = WordTransducer(Vocabulary(*shared.value))
+        machine = per_worker(_machine, shared.value)
         for batch in batches:
             texts = (text.as_py() or "" for text in batch.column(at))
             counts = [n for block in blocks(texts) for n in machine.counts(block, chunk_chars)]
