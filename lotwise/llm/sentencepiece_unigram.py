@@ -200,6 +200,7 @@ def encode(docs: DataFrame, pieces: Pieces, text_col: str = "text",
                 np.frombuffer(b"".join(packed), np.int32)))
             yield pa.RecordBatch.from_arrays([*batch.columns, ids],
                                              names=[*batch.schema.names, ids_col])
+        codec.packed.clear()  # the worker may serve other stages next
 
     return docs.mapInArrow(run, schema)
 

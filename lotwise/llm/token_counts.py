@@ -341,6 +341,8 @@ def count_tokens(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text"
             counts = [n for block in blocks(texts) for n in machine.counts(block, chunk_chars)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:at], pa.array(counts, pa.int64())], names=batch.schema.names)
+        machine.emitted.clear()  # the worker may serve other stages next
+        machine.pre_token.clear()
 
     return (slim.mapInArrow(count, schema)
             .withColumn("over_limit", F.col("n_tokens") > limit))
