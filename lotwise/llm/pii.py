@@ -4,20 +4,26 @@ Base spans: e-mail addresses, IP addresses, card numbers (Luhn) and telephone nu
 leftmost and non-overlapping per kind; a match that fails its test is dropped.
 
 Bootstrapping then looks for identifiers that no base pattern describes.  An *instance* is
-a token with a digit that follows a label and ``:`` or ``=``; the label (A-Z lower-cased) is its
-*pattern*.  Instances that are base spans are the seeds of their kind.  The graph of patterns
-and instances is scored in turns:
+a base span, whole, or a token with a digit that overlaps none, of 200 characters at most.  Its
+*patterns* are the contexts around it, A-Z lower-cased, digits as 0, blank runs as one blank:
+
+* the label (letters) before ``:`` or ``=``;
+* the last one, two and three words before it, with the punctuation up to it;
+* the first two and three words after it; one word alone, which says little, counts
+  together with the word before (``around``).
+
+Base spans are the seeds of their kind.  The graph of patterns and instances is scored in turns:
 
 * a pattern's score for a kind is the mean score of its distinct instances, times
   ``support / (support + DAMPING)`` with support the number of those with a score;
 * an instance that is no seed takes the highest score among its patterns.
 
 After ``rounds`` turns a pattern of at least ``confidence`` marks its instances as spans
-of that kind, unless they overlap a base span.
+of that kind; of several kinds the one with the highest score.  Base spans keep their kind.
 
 Matches leave a text as rows of lengths; running sums per text turn lengths into
 positions.  The graph is aggregated before it is joined: an edge is a distinct (pattern,
-instance) pair, so a label or token that a third of all rows hold is one edge.  Nothing is
+instance) pair, so a context or token that a third of all rows hold is one edge.  Nothing is
 collected, and nothing is broadcast by hand.
 
 Defined cases: null and empty texts have no spans; positions count code points, ends
@@ -45,39 +51,84 @@ PATTERNS = {
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
 OCTETS = r"^(?:0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])?(?:\.|$)){4}$"
-_LABEL, _BETWEEN = r"[\p{L}_-]{2,30}", r" ?[:=] ?[\x22'(]?"
-_TOKEN = r"[^\x00-\x20\x22'<>(),;:=]{0,200}"
-LABELLED = rf"(?<![\p{{L}}_-]){_LABEL}{_BETWEEN}{_TOKEN}"
+_TOKEN = r"[^\x00-\x20\x22'<>(),;:=]"
+_OTHER = r"[^\x00-\x20\x22'<>(),;:=0-9]"  # of a token, but no digit
+TOKEN = rf"(?<!{_TOKEN})(?={_OTHER}*+[0-9]){_TOKEN}{{1,200}}+"
+CONTEXT_CHARS = 200
+_WORD, _GAP = r"[\p{L}\p{N}_-]+", r"[^\p{L}\p{N}_-]+"
+_LABEL = r"(?<![\p{L}_-])([\p{L}_-]{2,30}) ?[:=] ?[\x22'(]?$"
+
+
+def _patterns(left: Column, right: Column) -> Column:
+    """The contexts of one match, from the text before and after it."""
+    def plain(text):
+        return F.regexp_replace(F.regexp_replace(lower_ascii(text), "[0-9]+", "0"), r"\s+", " ")
+
+    def before(n):
+        return F.regexp_extract(
+            left, rf"(?<![\p{{L}}\p{{N}}_-])({_WORD}(?:{_GAP}{_WORD}){{{n - 1}}}(?:{_GAP})?)$", 1)
+
+    def after(n):
+        return F.regexp_extract(right, rf"^((?:{_GAP})?{_WORD}(?:{_GAP}{_WORD}){{{n - 1}}})", 1)
+
+    left, right = plain(left), plain(right)
+    both = F.when((before(1) != "") & (after(1) != ""), F.concat(before(1), F.lit("\0"), after(1)))
+    kinds = {"label": F.regexp_extract(left, _LABEL, 1),
+             **{f"before{n}": before(n) for n in (1, 2, 3)},
+             **{f"after{n}": after(n) for n in (2, 3)}, "around": F.coalesce(both, F.lit(""))}
+    named = F.array(*[F.when(x != "", F.concat(F.lit(f"{name}\0"), x))
+                      for name, x in kinds.items()])
+    return F.filter(named, lambda x: x.isNotNull())
 
 
 def _pieces(text: Column, pattern: str, kind: str, likely: Column) -> Column:
-    """Array of (kind, nth, gap, value) of all matches; ``gap`` is the length of the text
-    between the last match and this one."""
-    zipped = F.arrays_zip(F.regexp_extract_all(text, F.lit(f"({pattern})"), 1).alias("value"),
-                          F.split(text, pattern, -1).alias("gap"))
-    rows = F.transform(zipped, lambda m, i: F.struct(
-        F.lit(kind).alias("kind"), i.alias("nth"), F.length(m["gap"]).alias("gap"),
-        m["value"].alias("value")))
-    # The last gap follows the last match.
-    return F.when(likely, F.filter(rows, lambda m: m["value"].isNotNull())).otherwise(
-        F.array().cast("array<struct<kind:string,nth:int,gap:int,value:string>>"))
+    """Array of (kind, nth, gap, value, left, right) of all matches; ``gap`` is the length of
+    the text between the last match and this one, ``left`` and ``right`` are the text around."""
+    values = F.regexp_extract_all(text, F.lit(f"({pattern})"), 1)
+    # Pieces: the gap before the first match, the match, the next gap and so on.
+    zipped = F.arrays_zip(values.alias("value"), F.split(text, pattern, -1).alias("gap"))
+
+    def row(pair, m, i):
+        # Each match has a word at least, so three of them hold three words of context.
+        def piece(j):
+            return F.coalesce(F.get(pair, j)["gap"], F.lit("")), \
+                F.coalesce(F.get(pair, j)["value"], F.lit(""))
+
+        earlier = [x for j in (3, 2, 1) for x in piece(i - j)]
+        later = [x for j in (1, 2, 3) for x in piece(i + j)]
+        return F.struct(
+            F.lit(kind).alias("kind"), i.alias("nth"), F.length(m["gap"]).alias("gap"),
+            m["value"].alias("value"),
+            F.right(F.concat(*earlier, m["gap"]), F.lit(CONTEXT_CHARS)).alias("left"),
+            F.left(F.concat(*later), F.lit(CONTEXT_CHARS)).alias("right"))
+
+    # The last gap follows the last match.  The array is bound once, for its neighbours.
+    rows = F.flatten(F.transform(F.array(zipped), lambda pair: F.transform(
+        F.filter(pair, lambda m: m["value"].isNotNull()), lambda m, i: row(pair, m, i))))
+    return F.when(likely, rows).otherwise(F.array().cast(
+        "array<struct<kind:string,nth:int,gap:int,value:string,left:string,right:string>>"))
 
 
 def _matches(texts: DataFrame) -> DataFrame:
-    """``row_id, kind, start, end, value`` of all matches, labelled tokens included."""
+    """``row_id, kind, start, end, value, patterns`` of all matches, tokens included."""
     text = F.col("text")
     likely = {"email": text.contains("@"), "ip": text.rlike(r"[0-9]\.[0-9]"),
               "card": text.rlike(PATTERNS["card"]), "phone": text.contains("+"),
-              "label": text.rlike(r"[:=] ?[\x22'(]?[^\x00-\x20]")}
-    found = F.concat(*[_pieces(text, {**PATTERNS, "label": LABELLED}[kind], kind, ok)
+              "token": text.rlike("[0-9]")}
+    found = F.concat(*[_pieces(text, {**PATTERNS, "token": TOKEN}[kind], kind, ok)
                        for kind, ok in likely.items()])
     rows = (texts.where(text.rlike("[0-9@]"))
-            .select("row_id", F.explode(found).alias("m")).select("row_id", "m.*"))
+            .select("row_id", F.explode(found).alias("m")).select("row_id", "m.*")
+            .withColumn("patterns", _patterns(F.col("left"), F.col("right"))))
     through = (Window.partitionBy("row_id", "kind").orderBy("nth")
                .rowsBetween(Window.unboundedPreceding, 0))
     size = F.length("value")
+    # A full stop after a token is no part of it.
+    value = F.when(F.col("kind") == "token", F.rtrim("value", F.lit(".!?"))).otherwise(F.col("value"))
     return (rows.withColumn("end", F.sum(F.col("gap") + size).over(through).cast("int"))
-            .select("row_id", "kind", (F.col("end") - size).alias("start"), "end", "value"))
+            .withColumn("start", F.col("end") - size).withColumn("value", value)
+            .select("row_id", "kind", "start", (F.col("start") + size).alias("end"), "value",
+                    "patterns"))
 
 
 def _valid(kind: Column, value: Column) -> Column:
@@ -89,14 +140,19 @@ def _valid(kind: Column, value: Column) -> Column:
             .when(kind == "phone", n.between(9, 15)))
 
 
-def _instances(labelled: DataFrame) -> DataFrame:
-    """``row_id, pattern, instance, start, end`` of labelled tokens that hold a digit."""
-    pattern = rf"^({_LABEL})({_BETWEEN})({_TOKEN})$"
-    return (labelled
-            .withColumn("instance", F.regexp_extract("value", pattern, 3))
-            .where(F.col("instance").rlike("[0-9]"))
-            .select("row_id", lower_ascii(F.regexp_extract("value", pattern, 1)).alias("pattern"),
-                    "instance", (F.col("end") - F.length("instance")).alias("start"), "end"))
+def _instances(found: DataFrame) -> DataFrame:
+    """Valid base spans, and the tokens that overlap none of them."""
+    token = F.col("kind") == "token"
+    spans = Window.partitionBy("row_id").orderBy("start")
+    last = F.max(F.when(~token, F.col("end"))).over(
+        spans.rangeBetween(Window.unboundedPreceding, 0))
+    next_ = F.min(F.when(~token, F.col("start"))).over(
+        spans.rangeBetween(0, Window.unboundedFollowing))
+    return (found.where(token | _valid(F.col("kind"), F.col("value")))
+            .withColumns({"last": last, "next": next_})
+            .where(~token | (F.coalesce(F.col("last") <= F.col("start"), F.lit(True))
+                             & F.coalesce(F.col("next") >= F.col("end"), F.lit(True))))
+            .drop("last", "next"))
 
 
 def score_patterns(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -129,20 +185,20 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     numbered = docs.select(F.monotonically_increasing_id().alias("row_id"),
                            F.col(id_col).alias("doc_id"),
                            F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    found = _matches(numbered.select("row_id", "text")).checkpoint()
-    base = (found.where(F.col("kind") != "label").where(_valid(F.col("kind"), F.col("value")))
-            .select("row_id", "kind", "start", "end"))
-    labelled = _instances(found.where(F.col("kind") == "label")).checkpoint()
-
-    seeds = (labelled.join(base.select("row_id", "start", "kind"), ["row_id", "start"])
-             .select("instance", "kind").distinct())
-    scores = score_patterns(labelled.select("pattern", "instance").distinct(), seeds, rounds)
+    spans = _instances(_matches(numbered.select("row_id", "text"))).checkpoint()
+    token = F.col("kind") == "token"
+    base = spans.where(~token).select("row_id", "kind", "start", "end")
+
+    edges = spans.select(F.explode("patterns").alias("pattern"),
+                         F.col("value").alias("instance")).distinct()
+    seeds = spans.where(~token).select(F.col("value").alias("instance"), "kind").distinct()
+    scores = score_patterns(edges.checkpoint(), seeds, rounds)
     trusted = (scores.where(F.col("score") >= confidence).groupBy("pattern")
-               .agg(F.max_by("kind", F.struct("score", "kind")).alias("kind")))
-    spoken_for = base.select("row_id", F.col("start").alias("s"), F.col("end").alias("e"))
-    more = labelled.join(trusted, "pattern").select("row_id", "kind", "start", "end")
-    more = more.join(spoken_for, (more["row_id"] == spoken_for["row_id"])
-                     & (F.col("start") < F.col("e")) & (F.col("s") < F.col("end")), "left_anti")
+               .agg(F.max(F.struct("score", "kind")).alias("best")))
+    more = (spans.where(token)
+            .select("row_id", "start", "end", F.explode("patterns").alias("pattern"))
+            .join(trusted, "pattern").groupBy("row_id", "start", "end")
+            .agg(F.max("best")["kind"].alias("kind")))
 
     number = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int") - 1
     spans = (base.withColumn("base", F.lit(True))

@@ -73,3 +73,17 @@ def test_repeated_rows_null_ids_and_empty(spark, store):
     docs = store(spark, [(None, "x@y.z"), (1, "x@y.z"), (1, "x@y.z")], "doc_id long, text string")
     assert [written(r) for r in pii.find_pii(docs).collect()] == [["email:0:5"]] * 3
     assert pii.find_pii(docs.limit(0)).count() == 0
+
+
+def test_contexts_in_prose_are_learnt(spark, store):
+    rows = [(i, f"You can always reach me under user{i}@mail.example.com, said {name}.")
+            for i, name in enumerate("ann bob cid dan eve fay gus hal".split())]
+    rows += [(100, "You can always reach me under agent77, or not"), (101, "There were 77 of 88.")]
+    rows += [(200 + i, f"contact: mailbox: user{i}@mail.example.com") for i in range(8)]
+    rows += [(300, "contact: mailbox: joe1")]
+    out = {r.doc_id: r for r in pii.find_pii(
+        store(spark, rows, "doc_id long, text string")).collect()}
+    for doc, value in ((100, "agent77"), (300, "joe1")):
+        at = dict(rows)[doc].index(value)
+        assert written(out[doc], False) == [f"email:{at}:{at + len(value)}"]
+    assert written(out[101], False) == []
