@@ -4,7 +4,8 @@ Base spans: e-mail addresses, IP addresses, card numbers (Luhn) and telephone nu
 leftmost and non-overlapping per kind; a match that fails its test is dropped.
 
 Bootstrapping then looks for identifiers that no base pattern describes.  An *instance* is
-a base span, whole, or a token with a digit that overlaps none, of 200 characters at most.  Its
+a base span, whole, or a token with a digit that overlaps none; a token runs on over single
+blanks, brackets and hyphens while groups of digits follow, and has no greatest length.  Its
 *patterns* are the contexts around it, A-Z lower-cased, digits as 0, blank runs as one blank:
 
 * the label (letters) before ``:`` or ``=``;
@@ -53,7 +54,8 @@ PATTERNS = {
 OCTETS = r"^(?:0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])?(?:\.|$)){4}$"
 _TOKEN = r"[^\x00-\x20\x22'<>(),;:=]"
 _OTHER = r"[^\x00-\x20\x22'<>(),;:=0-9]"  # of a token, but no digit
-TOKEN = rf"(?<!{_TOKEN})(?={_OTHER}*+[0-9]){_TOKEN}{{1,200}}+"
+TOKEN = (rf"(?<!{_TOKEN})(?={_OTHER}*+[0-9]){_TOKEN}++"
+         r"(?:(?<=[0-9])(?:[ -]| ?\(|\)[ -]?)[0-9]++(?:[.-][0-9]++)*+(?![\p{L}0-9]))*+")
 CONTEXT_CHARS = 200
 _WORD, _GAP = r"[\p{L}\p{N}_-]+", r"[^\p{L}\p{N}_-]+"
 _LABEL = r"(?<![\p{L}_-])([\p{L}_-]{2,30}) ?[:=] ?[\x22'(]?$"

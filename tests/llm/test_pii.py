@@ -87,3 +87,15 @@ def test_contexts_in_prose_are_learnt(spark, store):
         at = dict(rows)[doc].index(value)
         assert written(out[doc], False) == [f"email:{at}:{at + len(value)}"]
     assert written(out[101], False) == []
+
+
+def test_identifiers_with_blanks_are_whole(spark, store):
+    long = "x" * 300 + "7"
+    rows = [(i, f"tel: +1 (846) 555-54{10 + i}") for i in range(20)]
+    rows += [(100, "tel: 0846 555 1234 now"), (101, f"tel: {long}"), (102, "tel: (030) 12-34.")]
+    out = {r.doc_id: r for r in pii.find_pii(
+        store(spark, rows, "doc_id long, text string")).collect()}
+    assert written(out[100], False) == ["phone:5:18"]
+    assert written(out[101], False) == ["phone:5:306"]
+    assert written(out[102], False) == ["phone:6:16"]
+    assert written(out[0], False) == written(out[0]) == ["phone:5:22"]
