@@ -1,9 +1,12 @@
 """Variable-order byte context trees for several classes, with frozen statistics.
 
 Counting is a Spark aggregation: tasks count the byte 4-grams of their texts per class
-(a text starts with three zero bytes), partial counts are summed by a shuffle.  A model keeps the most
-frequent 4-grams within a fixed budget for all classes together, so what reaches the driver
-and is broadcast is bounded; lower orders follow from them.
+(a text starts with three zero bytes), partial counts are summed by a shuffle.  No count is
+dropped.  Up to ``max_grams`` distinct (class, 4-gram) pairs the model is one ``ContextTrees``
+on the driver, which is broadcast.  Beyond that it is a ``SplitTrees``: the counts stay a stored
+table, dealt by the two middle bytes of a 4-gram, on which all its contexts of order 1 to 3
+and their codes depend; orders 0 and 1 and the code lengths of the most frequent 4-grams
+are broadcast, the other 4-grams of the texts meet theirs in a join.  Both code alike.
 
 In each class's tree a context of ``k`` bytes (0 to 3) has ``n`` followers, ``d`` of
 them distinct.  Seen bytes share the part of the probability that isn't kept for
@@ -22,11 +25,15 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lotwise.llm.rows import fresh
+from lotwise.session import checkpoint_dir
+
 ORDER = 3
-MAX_GRAMS = 1 << 20
+MAX_GRAMS = 1 << 20  # (class, 4-gram) pairs that are broadcast; the others are joined
+PART_GRAMS = 1 << 16  # about so many of them make a part of a larger model
 DISCOUNT = 0.75
 BLOCK_BYTES = 1 << 20
 _MASKS = [0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF]
@@ -79,34 +86,27 @@ def count_grams(texts: DataFrame) -> DataFrame:
     return counted.groupBy("label", "gram").agg(F.sum("n").alias("n"))
 
 
-def fit(texts: DataFrame, kind: str = "ppm", max_grams: int = MAX_GRAMS) -> ContextTrees | None:
-    """Trees of all classes of ``label, text``; None without rows.  ``max_grams`` bounds the
-    4-grams of the model: each class keeps its most frequent ones, whole counts only."""
+def fit(texts: DataFrame, kind: str = "ppm",
+        max_grams: int = MAX_GRAMS) -> ContextTrees | SplitTrees | None:
+    """Trees of all classes of ``label, text``; None without rows.  ``max_grams`` bounds what
+    is broadcast, not the counts."""
     counts = count_grams(texts).persist()
     try:
         sizes = counts.groupBy("label").count().collect()
         if not sizes:
             return None
-        share = max_grams // len(sizes)
-        large = [r["label"] for r in sizes if r["count"] > share]
-        kept = counts
-        if large:  # the least count that keeps a class within its share, from a histogram
-            steps = (counts.where(F.col("label").isin(large)).groupBy("label", "n").count()
-                     .orderBy("label", F.desc("n")).toLocalIterator())
-            least: dict[str, list[int]] = {}
-            for row in steps:
-                state = least.setdefault(row["label"], [0, 0])
-                if state[1] >= 0:
-                    state[1] += row["count"]
-                    if state[1] > share:
-                        state[0], state[1] = row["n"] + 1, -1
-            floor = F.create_map(*[F.lit(x) for label in large for x in (label, least[label][0])])
-            kept = counts.where(F.col("n") >= F.coalesce(floor[F.col("label")], F.lit(0)))
-        table = kept.orderBy("label", "gram").toArrow()
+        total = sum(r["count"] for r in sizes)
+        if total > max_grams:
+            return SplitTrees(counts, total, kind, max_grams)
+        return ContextTrees(*_columns(counts), kind)
     finally:
         counts.unpersist()
-    return ContextTrees(table["label"].to_pylist(),
-                        table["gram"].to_numpy().astype(np.uint32), table["n"].to_numpy(), kind)
+
+
+def _columns(counts: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
+    table = counts.select("label", "gram", "n").orderBy("label", "gram").toArrow()
+    return (table["label"].to_pylist(), table["gram"].to_numpy().astype(np.uint32),
+            table["n"].to_numpy())
 
 
 class HashIndex:
@@ -146,24 +146,40 @@ class ContextTrees:
     """Code lengths in bits under each class's tree."""
 
     def __init__(self, labels: list[str], codes: np.ndarray, counts: np.ndarray,
-                 kind: str = "ppm"):
-        self.labels = sorted(set(labels))
+                 kind: str = "ppm", order: int = ORDER, lower: ContextTrees | None = None):
+        """Orders up to ``order``; ``lower`` has orders 0 and 1 for all classes, if they
+        are not to be counted here."""
+        self.order = order
+        self.labels = lower.labels if lower else sorted(set(labels))
         number = {x: i for i, x in enumerate(self.labels)}
-        owner = np.array([number[x] for x in labels])
-        self.keys, self.contexts = [], []  # by order: sorted grams and contexts of any class
-        for k in range(ORDER + 1):
+        owner = np.array([number[x] for x in labels], int)
+        # By order: sorted grams and contexts of any class.
+        self.keys = lower.keys[:2] if lower else []
+        self.contexts = lower.contexts[:2] if lower else []
+        first = len(self.keys)
+        for k in range(first, order + 1):
             self.keys.append(np.unique(codes & np.uint32(_MASKS[k])))
             self.contexts.append(np.unique(self.keys[k] >> np.uint32(8)))
         width = len(self.labels)
-        self.bits = [np.zeros((len(x), width), np.float32) for x in self.keys]
-        self.escape = [np.zeros((len(x), width), np.float32) for x in self.contexts]
+        self.bits = [np.zeros((len(x) if k >= first else 0, width), np.float32)
+                     for k, x in enumerate(self.keys)]
+        self.escape = [np.zeros((len(x) if k >= first else 0, width), np.float32)
+                       for k, x in enumerate(self.contexts)]
+        self.below = []  # by class: probabilities of the grams of order 1, if none is higher
         for c in range(width):
-            self._grow(c, codes[owner == c], counts[owner == c].astype(float), kind)
-        self._dense()
+            self._grow(c, codes[owner == c], counts[owner == c].astype(float), kind, first,
+                       lower.below[c] if lower else None)
+        if lower:
+            self.two_bytes = lower.two_bytes
+        else:
+            self._dense()
+        self.gram_index, self.context_index = ([None, None, *map(HashIndex, x[2:])]
+                                               for x in (self.keys, self.contexts))
 
-    def _grow(self, c: int, codes: np.ndarray, counts: np.ndarray, kind: str) -> None:
-        below = None  # probabilities under the next shorter context, for all its grams
-        for k in range(ORDER + 1):
+    def _grow(self, c: int, codes: np.ndarray, counts: np.ndarray, kind: str, first: int,
+              below: np.ndarray | None) -> None:
+        """``below``: probabilities under the next shorter context, for all its grams."""
+        for k in range(first, self.order + 1):
             own, at = np.unique(codes & np.uint32(_MASKS[k]), return_inverse=True)
             seen = np.bincount(at, counts)
             contexts, of = np.unique(own >> np.uint32(8), return_inverse=True)
@@ -184,12 +200,16 @@ class ContextTrees:
             # All grams of any class: escape, then overwrite what this class has seen.
             where = np.searchsorted(contexts, self.keys[k] >> np.uint32(8))
             where[where == len(contexts)] = 0
-            known = contexts[where] == self.keys[k] >> np.uint32(8)
-            value = np.where(known, weight[where], 1.0) * lower
+            value = lower.copy()
+            if len(contexts):
+                known = contexts[where] == self.keys[k] >> np.uint32(8)
+                value *= np.where(known, weight[where], 1.0)
             value[np.searchsorted(self.keys[k], own)] = p
             self.bits[k][:, c] = -np.log2(np.maximum(value, 1e-30))
             self.escape[k][np.searchsorted(self.contexts[k], contexts), c] = -np.log2(weight)
             below = value
+        if self.order == 1:
+            self.below.append(below)
 
     def _dense(self) -> None:
         """Orders 0 and 1 as full tables; hash indices for the others."""
@@ -200,16 +220,14 @@ class ContextTrees:
         one[self.contexts[1]] += self.escape[1][:, None, :]
         self.two_bytes = one.reshape(65536, width)
         self.two_bytes[self.keys[1]] = self.bits[1]
-        self.gram_index = [None, None, HashIndex(self.keys[2]), HashIndex(self.keys[3])]
-        self.context_index = [None, None, HashIndex(self.contexts[2]),
-                              HashIndex(self.contexts[3])]
 
     def code_lengths(self, codes: np.ndarray, k: int = ORDER) -> np.ndarray:
         """Bits of each byte, given as 4-gram codes, under each class."""
         if k == 1:
             return self.two_bytes[codes]
         at = self.gram_index[k].find(codes)
-        out = self.bits[k][at]
+        out = (self.bits[k][at] if len(self.bits[k])
+               else np.zeros((len(codes), len(self.labels)), np.float32))
         absent = np.flatnonzero(at < 0)
         if len(absent):
             missing = codes[absent]
@@ -231,3 +249,89 @@ class ContextTrees:
                 total[filled] = np.add.reduceat(self.code_lengths(codes),
                                                 (ends - lengths)[filled], axis=0, dtype=float)
             yield total[:len(ends)]
+
+
+class SplitTrees:
+    """Trees whose counts are a stored table; ``labels`` as in ``ContextTrees``, ``keys[3]``
+    has the 4-grams whose code lengths are broadcast."""
+
+    def __init__(self, counts: DataFrame, total: int, kind: str, max_grams: int):
+        spark = counts.sparkSession
+        checkpoint_dir(spark)
+        self.kind = kind
+        self.parts = max(1, min(1 << 16, total // PART_GRAMS))
+        self.counts = counts.withColumn("part", self._part(F.col("gram"))).checkpoint()
+        two = F.col("gram").bitwiseAND(_MASKS[1])
+        low = ContextTrees(*_columns(self.counts.groupBy("label", two.alias("gram"))
+                                     .agg(F.sum("n").alias("n"))), kind, order=1)
+        self.labels = low.labels
+        self.low = spark.sparkContext.broadcast(low)
+        frequent = (self.counts.groupBy("gram").agg(F.sum("n").alias("n"))
+                    .orderBy(F.desc("n"), "gram").limit(max_grams // len(self.labels)))
+        table = self.code_lengths(frequent.select("gram")).orderBy("gram").toArrow()
+        keys = table["gram"].to_numpy().astype(np.uint32)
+        bits = np.array(table["bits"].to_pylist(), float).reshape(len(keys), len(self.labels))
+        self.keys = [*low.keys, np.zeros(0, np.uint32), keys]
+        self.shared = spark.sparkContext.broadcast((HashIndex(keys), bits))
+
+    def _part(self, gram: Column) -> Column:
+        middle = F.shiftright(gram, 8).bitwiseAND(_MASKS[1])
+        return F.pmod(middle, F.lit(self.parts))
+
+    def code_lengths(self, grams: DataFrame) -> DataFrame:
+        """``gram, bits`` of distinct 4-grams, bits by class."""
+        low, kind = self.low, self.kind
+
+        def run(counts, wanted):
+            trees = ContextTrees(counts["label"].to_pylist(),
+                                 counts["gram"].to_numpy().astype(np.uint32),
+                                 counts["n"].to_numpy(), kind, lower=low.value)
+            bits = trees.code_lengths(wanted["gram"].to_numpy().astype(np.uint32))
+            return pa.table({"gram": wanted["gram"],
+                             "bits": pa.array(list(bits.astype(float)), pa.list_(pa.float64()))})
+
+        wanted = grams.withColumn("part", self._part(F.col("gram")))
+        return (self.counts.groupBy("part").cogroup(wanted.groupBy("part"))
+                .applyInArrow(run, "gram long, bits array<double>"))
+
+    def with_bits(self, docs: DataFrame, text: Column, out: str) -> DataFrame:
+        """``docs``, a stored table, with the total bits of ``text`` (not null) by class."""
+        shared = self.shared
+        row = fresh(docs, "row")
+        numbered = docs.withColumn(row, F.monotonically_increasing_id())
+
+        def run(batches):
+            index, known = shared.value
+            for batch in batches:
+                rows = ((i, t.as_py().encode()) for i, t in zip(batch.column(0), batch.column(1)))
+                for block in _blocks(rows):
+                    codes, ends = grams([t for _, t in block])
+                    owner = np.repeat(np.arange(len(block)), np.diff(ends, prepend=0))
+                    at = index.find(codes)
+                    bits = np.zeros((len(block), known.shape[1]))
+                    for c in range(known.shape[1] if len(known) else 0):
+                        bits[:, c] = np.bincount(owner[at >= 0], known[at[at >= 0], c], len(block))
+                    rest, n = np.unique(owner[at < 0] << 32 | codes[at < 0].astype(np.int64),
+                                        return_counts=True)
+                    cuts = np.searchsorted(rest >> 32, np.arange(len(block) + 1)).astype(np.int32)
+                    other = pa.StructArray.from_arrays(
+                        [pa.array(rest & _MASKS[3]), pa.array(n.astype(np.int64))], ["gram", "n"])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([i.as_py() for i, _ in block], pa.int64()),
+                         pa.array(list(bits), pa.list_(pa.float64())),
+                         pa.ListArray.from_arrays(pa.array(cuts), other)],
+                        names=["row", "bits", "rest"])
+
+        parts = (numbered.select(F.col(row).alias("row"), text.alias("text")).mapInArrow(
+            run, "row long, bits array<double>, rest array<struct<gram:long,n:long>>").checkpoint())
+        rest = parts.select("row", F.inline("rest"))
+        # Sums by class before rows meet again: a text has as many as there are classes.
+        more = (rest.join(self.code_lengths(rest.select("gram").distinct()), "gram")
+                .select("row", "n", F.posexplode("bits").alias("class", "each"))
+                .groupBy("row", "class").agg(F.sum(F.col("n") * F.col("each")).alias("sum"))
+                .groupBy("row").agg(F.sort_array(F.collect_list(F.struct("class", "sum")))
+                                    .alias("more")))
+        total = F.when(F.col("more").isNull(), F.col("bits")).otherwise(
+            F.zip_with("bits", F.col("more")["sum"], lambda a, b: a + b))
+        totals = parts.join(more, "row", "left").select(F.col("row").alias(row), total.alias(out))
+        return numbered.join(totals, row).drop(row)

@@ -5,11 +5,12 @@ the labelled texts and frozen; the language whose tree codes a text in the fewes
 The score is the posterior of that language under equal priors,
 ``1 / sum(2 ** (least - bits))``.
 
-Learning reads all labelled rows; counts are aggregated by Spark.  The frozen model
-(``max_grams`` 4-grams in all) is broadcast; scoring is a map without shuffle.
+Learning reads all labelled rows; counts are aggregated by Spark and all kept.  A frozen model
+of up to ``max_grams`` 4-grams is broadcast and scoring is a map without shuffle; of a larger
+one the other 4-grams are joined (``context_tree``).
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0, as is every
-text when no labelled text exists; ties go to the first language by name; empty labelled
+text when no labelled text exists; ``docs`` is a stored table; ties go to the first language by name; empty labelled
 texts teach nothing; repeated rows count each; other columns are kept, those named as an
 output are replaced.
 """
@@ -17,7 +18,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
@@ -25,16 +26,17 @@ from lotwise.llm import context_tree
 from lotwise.llm.rows import fresh
 
 UNDETERMINED = "und"
+Model = context_tree.ContextTrees | context_tree.SplitTrees
 
 
 def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
-          max_grams: int = context_tree.MAX_GRAMS) -> context_tree.ContextTrees | None:
+          max_grams: int = context_tree.MAX_GRAMS) -> Model | None:
     rows = labelled.select(F.col(lang_col).cast("string").alias("label"),
                            F.col(text_col).alias("text"))
     return context_tree.fit(rows.where("label is not null and text != ''"), "ppm", max_grams)
 
 
-def predict(docs: DataFrame, model: context_tree.ContextTrees | None,
+def predict(docs: DataFrame, model: Model | None,
             text_col: str = "text", lang_out: str = "lang_pred",
             score_out: str = "score") -> DataFrame:
     """``docs`` with the predicted language and its score."""
@@ -42,8 +44,10 @@ def predict(docs: DataFrame, model: context_tree.ContextTrees | None,
     docs = docs.select(*[docs[f"`{c}`"] for c in kept])
     if model is None:
         return docs.withColumns({lang_out: F.lit(UNDETERMINED), score_out: F.lit(0.0)})
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     has_letter = F.coalesce(F.col(text_col), F.lit("")).rlike(r"\p{L}")
+    if isinstance(model, context_tree.SplitTrees):
+        return _predict_split(docs, model, has_letter, text_col, lang_out, score_out)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     flagged = docs.withColumn(fresh(docs, "judged"), has_letter)
     at = [c.lower() for c in kept].index(text_col.lower())
     schema = StructType([*docs.schema.fields, StructField(lang_out, StringType()),
@@ -68,3 +72,17 @@ def predict(docs: DataFrame, model: context_tree.ContextTrees | None,
                  pa.array(score)], names=[*batch.schema.names[:len(kept)], lang_out, score_out])
 
     return flagged.mapInArrow(run, schema)
+
+
+def _predict_split(docs: DataFrame, model: context_tree.SplitTrees, has_letter: Column,
+                   text_col: str, lang_out: str, score_out: str) -> DataFrame:
+    bits = fresh(docs, "bits")
+    coded = model.with_bits(docs, F.when(has_letter, F.col(text_col)).otherwise(""), bits)
+    least = F.array_min(bits)
+    names = F.array(*map(F.lit, model.labels))
+    lang = F.element_at(names, F.array_position(F.col(bits), least).cast("int"))
+    posterior = 1 / F.aggregate(bits, F.lit(0.0), lambda total, x: total + F.pow(
+        F.lit(2.0), -F.least(x - least, F.lit(1000.0))))
+    return coded.withColumns({
+        lang_out: F.when(has_letter, lang).otherwise(UNDETERMINED),
+        score_out: F.when(has_letter, posterior).otherwise(0.0)}).drop(bits)

@@ -10,7 +10,8 @@ by a model of the rest, their differences are counted in a histogram of fixed wi
 threshold that gives accepted and rejected URLs the same error rate (the mean of the two
 is least) is taken.  The final models learn from all decided URLs.
 
-Counts are aggregated by Spark; the models and the histogram have fixed bounds.
+Counts are aggregated by Spark and all kept; what is broadcast of the models and the
+histogram have fixed bounds.
 
 Rules are few (a parameter list); a rule fits its host and all subdomains if the path
 starts with the rule's, and the longest one wins.
@@ -69,7 +70,7 @@ def apply_rules(rules: list[Rule], host: Column, path: Column) -> Column:
 
 @dataclass
 class UrlModel:
-    trees: context_tree.ContextTrees | None
+    trees: context_tree.ContextTrees | context_tree.SplitTrees | None
     threshold: float
 
 
@@ -81,8 +82,14 @@ def _differences(trees: context_tree.ContextTrees, texts: list[str]) -> np.ndarr
     return (rejected - accepted) / np.maximum(lengths, 1)
 
 
-def score(urls: DataFrame, trees: context_tree.ContextTrees, text_col: str,
-          out_col: str) -> DataFrame:
+def score(urls: DataFrame, trees: context_tree.ContextTrees | context_tree.SplitTrees,
+          text_col: str, out_col: str) -> DataFrame:
+    if isinstance(trees, context_tree.SplitTrees):
+        bits = fresh(urls, "bits")
+        accepted, rejected = (F.col(bits)[trees.labels.index(x)] for x in (ALLOW, BLOCK))
+        n_bytes = F.greatest(F.octet_length(text_col), F.lit(1))
+        return (trees.with_bits(urls, F.col(text_col), bits)
+                .withColumn(out_col, (rejected - accepted) / n_bytes).drop(bits))
     shared = urls.sparkSession.sparkContext.broadcast(trees)
     at = urls.columns.index(text_col)
     schema = StructType([*urls.schema.fields, StructField(out_col, DoubleType())])

@@ -82,6 +82,39 @@ def test_model_budget_keeps_frequent_grams(spark, store):
     assert len(model.keys[3]) <= 10
 
 
+def test_counts_beyond_the_budget_still_count(spark, store):
+    """A model that is not broadcast whole codes like one that is."""
+    rows = [(i, t and t * (1 + i % 3), lang, "") for i, (t, lang) in enumerate([
+        ("the cat and the dog went home", "en"), ("this is the house of the king", "en"),
+        ("der hund und die katze sind da", "de"), ("das ist das haus des königs", "de"),
+        ("猫は家にいます。犬もいます", "ja"), ("", "ja"), (None, None), ("12 3", None),
+        ("the queen sings", None), ("die königin singt", None), ("犬は猫です", None)])]
+    docs = store(spark, rows, LABELLED)
+    whole = {r.doc_id: r for r in language_id.predict(docs, language_id.learn(docs)).collect()}
+    for budget in (1, 12, 100):
+        model = language_id.learn(docs, max_grams=budget)
+        assert model.labels == ["de", "en", "ja"] and 3 * len(model.keys[3]) <= budget
+        out = language_id.predict(docs, model).collect()
+        assert len(out) == len(rows) and out[0].asDict().keys() == whole[0].asDict().keys()
+        for r in out:
+            assert r.lang_pred == whole[r.doc_id].lang_pred
+            assert r.score == pytest.approx(whole[r.doc_id].score, abs=1e-5)
+
+
+def test_url_scores_do_not_depend_on_the_budget(spark, store):
+    rows = [(i, f"http://good{i % 7}.org/news/story-{i}") for i in range(60)]
+    rows += [(1000 + i, f"http://win{i % 5}.biz/cheap-pills/{i}") for i in range(60)]
+    rows += [(5000, "http://other.com/news/story-9"), (5001, None), (5002, "http://猫.jp/é")]
+    urls = store(spark, rows, "page_id int, url string")
+    rules = [Rule("allow", "org/"), Rule("block", "biz/")]
+    whole, split = ({r.page_id: r for r in url_filter.judge(
+        urls, rules, url_filter.learn(urls, rules, max_grams=n)).collect()} for n in (1 << 20, 40))
+    assert len(split) == len(rows)
+    for i, r in whole.items():
+        assert split[i].verdict == r.verdict
+        assert split[i].url_score == pytest.approx(r.url_score, abs=1e-4)
+
+
 def test_held_out_accuracy(spark):
     out = queries.op1_language_id(spark, "/root/testdata/sf0.01")
     truth = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
