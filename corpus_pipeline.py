@@ -4,7 +4,8 @@ Each stage is ``(spark, docs, sf_dir) -> DataFrame``.  ``docs`` is a stored tabl
 result of the stage before, written as Parquet and reread).  All but the last stage return the
 columns of ``documents``; what a stage drops stays dropped.
 
-1. language ID: documents without a determinable language go;
+1. language ID: documents without a letter go, and those that the model codes worse than
+   any learnt language allows (without labelled documents only the former);
 2. exact dedup: of equal texts one document stays;
 3. near dedup: of near-duplicate components one document stays;
 4. benchmark decontamination: contaminated documents go;
@@ -27,8 +28,14 @@ PIECE_FILE = "piece_bpe_32k.model"
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language_id.learn(docs)
-    judged = language_id.predict(docs, model, lang_out="__lang", score_out="__score")
-    return judged.where(F.col("__lang") != language_id.UNDETERMINED).select(*docs.columns)
+    if model is None:
+        return docs.where(language_id.has_letter(F.col("text")))
+    judged = language_id.predict(docs, model, lang_out="__lang", score_out="__score",
+                                 bits_out="__bits")
+    fits = (language_id.rate(F.col("__bits"), F.col("text"))
+            <= F.lit(language_id.learn_bound(docs)))
+    return (judged.where((F.col("__lang") != language_id.UNDETERMINED) & fits)
+            .select(*docs.columns))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

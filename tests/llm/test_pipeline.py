@@ -81,6 +81,22 @@ def test_stages_do_what_brute_force_does(spark, tmp_path):
     assert all(r.round_trip and codec.decode(r.piece_ids) == left[r.doc_id] for r in coded)
 
 
+def test_the_language_model_decides(spark, store):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    clean = docs.where("length(text) > 200").limit(20).selectExpr(
+        "-100 - doc_id as doc_id", "concat('Von: ', text) as text", "null as lang", "source", "n_chars")
+    junk = [(-1, "zxqj vkwp qzzx jjkq wvvx qqpz xkcd " * 5, None, "s", 0),
+            (-2, "Это русский текст о погоде", None, "s", 0),
+            (-3, "12 34", "en", "s", 0), (-4, "Ja.", None, "s", 0)]
+    rows = docs.union(clean).union(spark.createDataFrame(junk, docs.schema)).collect()
+    table = store(spark, rows, docs.schema)
+    left = rows_of(corpus_pipeline.identify_language(spark, table, SF))
+    assert {r.doc_id for r in rows} - set(left) == {-1, -2, -3}
+    unlabelled = store(spark, [(*r[:2], None, *r[3:]) for r in rows], docs.schema)
+    left = rows_of(corpus_pipeline.identify_language(spark, unlabelled, SF))
+    assert {r.doc_id for r in rows} - set(left) == {-3}
+
+
 def test_run_chains_the_stages(spark):
     out = corpus_pipeline.run(spark, SF)
     assert out.columns == ["doc_id", "lang", "source", "piece_ids", "n_pieces", "round_trip"]
