@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from lotwise.llm import decontaminate as decontamination
 from lotwise.llm import exact_dedup as dedup
-from lotwise.llm import (language_id, near_dedup, pii, preference, sentencepiece_unigram, sharding, token_counts,
-                         url_filter)
+from lotwise.llm import (language_id, near_dedup, periodic_runs, pii, preference,
+                         sentencepiece_unigram, sharding, token_counts, url_filter)
 
 #: Vocabulary files, by the name under which the tokenizer package has them.
 BPE_FILE, PIECE_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -121,7 +121,43 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                       written(F.col("spans")).alias("spans"))
 
 
+def _with_repeats(docs: DataFrame) -> DataFrame:
+    """The texts of the contract of op13: in one of ten, the words from a place on repeat."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    texts = docs.select("doc_id", "text", h.alias("h"), F.filter(
+        F.split("text", r"[ \t-\r]+"), lambda w: w != "").alias("words"))
+    texts = texts.select("*", F.size("words").alias("n"), F.floor(F.col("h") / 10).alias("g"))
+    texts = texts.select("*", (F.col("g") % F.greatest("n", F.lit(1))).cast("int").alias("a"))
+    texts = texts.select("*", (F.floor((F.col("n") - F.col("a")) / (F.col("g") % 8 + 3)) + 1)
+                         .cast("int").alias("p"))
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    cycle = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), times))
+    repeated = F.slice(F.concat(F.slice("words", F.lit(1), F.col("a")), cycle), F.lit(1), F.col("n"))
+    chosen = (F.col("h") % 10 == 0) & (F.col("n") > 0)
+    return texts.select("doc_id", F.when(chosen, F.array_join(repeated, " "))
+                        .otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _with_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic_runs.find_runs(docs)
+
+    def stronger(best, run):  # an earlier run wins a tie
+        return F.when(run["length"] * best["period"] > best["length"] * run["period"], run).otherwise(best)
+
+    found = found.withColumn("best", F.aggregate("runs", F.get("runs", F.lit(0)), stronger))
+    line = F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"), F.col("best.period").alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_url_filter, op3_token_counts, op4_sharding,
     op5_decontamination, op6_chat_formatting, op7_sentencepiece, op8_exact_dedup, op9_near_dedup, op10_pii,
+    op13_periodic_runs,
 )}
