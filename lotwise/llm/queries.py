@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lotwise.llm import decontaminate as decontamination
 from lotwise.llm import exact_dedup as dedup
-from lotwise.llm import (language_id, near_dedup, periodic_runs, pii, preference,
+from lotwise.llm import (conversation_repair, language_id, near_dedup, periodic_runs, pii, preference,
                          sentencepiece_unigram, sharding, token_counts, url_filter)
 
 #: Vocabulary files, by the name under which the tokenizer package has them.
@@ -121,6 +121,24 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                       written(F.col("spans")).alias("spans"))
 
 
+def _damaged(convs: DataFrame) -> DataFrame:
+    """The rows of the contract of op12, ``copies`` of each."""
+    def plain(name):
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    fate = F.crc32(F.concat(plain("conv_id"), F.lit(":"), plain("turn"))) % 20
+    return convs.select(
+        "conv_id", "turn", F.when(fate == 4, "user").otherwise(plain("role")).alias("role"),
+        F.when(fate == 1, "").when(fate == 2, F.translate(plain("text"), ".!?", ""))
+        .otherwise(plain("text")).alias("text"),
+        F.when(fate == 3, 2).otherwise(1).alias("copies")).where(fate != 0)
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversation_repair.transcripts(_damaged(convs), copies_col="copies", known=convs)
+
+
 def _with_repeats(docs: DataFrame) -> DataFrame:
     """The texts of the contract of op13: in one of ten, the words from a place on repeat."""
     h = F.crc32(F.col("doc_id").cast("string"))
@@ -159,5 +177,5 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_url_filter, op3_token_counts, op4_sharding,
     op5_decontamination, op6_chat_formatting, op7_sentencepiece, op8_exact_dedup, op9_near_dedup, op10_pii,
-    op13_periodic_runs,
+    op12_conversation_repair, op13_periodic_runs,
 )}
