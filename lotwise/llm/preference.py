@@ -10,7 +10,7 @@ join the arrays, so a conversation that is in thousands of pairs is a skewed joi
 that AQE splits, never a group.
 
 Defined cases: rows without a conversation id belong to no conversation; a null role
-or text counts as empty; turns are ordered by (turn, role, text), nulls first, and
+or text counts as empty; ids are of any type that can be ordered; turns are ordered by (turn, role, text), nulls first, and
 repeated rows stay; a conversation without partner gives a row whose rejected side
 is null and whose prompt ends before its first turn of the trained role; equal
 conversations give two empty completions; an empty table gives no rows; other columns
@@ -44,11 +44,12 @@ def pairs_by_opening(convs: DataFrame, trained_role: str = TRAINED_ROLE) -> Data
     said = F.aggregate(
         F.filter("turns", lambda t: t["role"] == trained_role), F.lit(0).cast("long"),
         lambda n, t: n + F.length(t["text"]))
-    keyed = convs.select("conv_id", said.alias("said"),
-                         F.sha2(F.concat_ws("\n", F.get("turns", F.lit(0))["role"],
-                                            F.get("turns", F.lit(0))["text"]), 256).alias("opening"))
+    first = F.get("turns", F.lit(0))
+    # The role's length in front tells where the role ends.
+    opening = F.concat_ws(":", F.length(first["role"]), first["role"], first["text"])
+    keyed = convs.select("conv_id", said.alias("said"), F.sha2(opening, 256).alias("opening"))
     best = (keyed.groupBy("opening")
-            .agg(F.max_by("conv_id", F.struct("said", (-F.col("conv_id")).alias("small")))
+            .agg(F.min_by("conv_id", F.struct((-F.col("said")).alias("less"), "conv_id"))
                  .alias("chosen_id"), F.count("*").alias("n")))
     return (keyed.join(best, "opening")
             .where((F.col("conv_id") != F.col("chosen_id")) | (F.col("n") == 1))

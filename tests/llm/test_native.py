@@ -145,3 +145,14 @@ def test_checksum_of_query_contract(spark, store):
         docs, carry={"h": F.sha2(exact_dedup.normalised(F.col("text")), 256)})
     assert {r.doc_id: r.h for r in out.collect()} == {
         1: hashlib.sha256("abÉ".encode()).hexdigest(), 2: hashlib.sha256(b"").hexdigest()}
+
+
+def test_opening_turns_are_told_apart(spark, store):
+    """Ids of any type; a role's end is no part of its text."""
+    rows = [("a", 0, "user", "x\n"), ("b", 0, "user\nx", ""), ("c", 0, "user", "x\n"),
+            ("c", 1, "assistant", "more"), ("d", 0, "user", "x\n"), ("d", 1, "assistant", "less")]
+    convs = preference.conversations(store(spark, rows, "conv_id string, turn long, role string, text string"))
+    pairs = preference.pairs_by_opening(convs)
+    assert sorted(map(tuple, pairs.collect()), key=repr) == [("b", None), ("c", "a"), ("c", "d")]
+    out = {r["rejected_id"]: r for r in preference.format_preferences(pairs, convs).collect()}
+    assert out["d"]["n_prompt_turns"] == 1 and out[None]["prompt"] == "<|user\nx|>\n\n"
