@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from lotwise.llm import decontaminate as decontamination
 from lotwise.llm import exact_dedup as dedup
-from lotwise.llm import (conversation_repair, language_id, near_dedup, periodic_runs, pii, preference,
-                         sentencepiece_unigram, sharding, token_counts, url_filter)
+from lotwise.llm import (conversation_repair, jaccard_join, language_id, near_dedup, periodic_runs,
+                         pii, preference, sentencepiece_unigram, sharding, token_counts, url_filter)
 
 #: Vocabulary files, by the name under which the tokenizer package has them.
 BPE_FILE, PIECE_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -25,8 +25,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
-    model = language_id.learn(docs.where(~F.coalesce(held_out, F.lit(False))))
+    # A row without an id has no remainder, so it isn't held out.
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    model = language_id.learn(docs.where(~held_out))
     return language_id.predict(
         docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
 
@@ -81,8 +82,7 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = sentencepiece_unigram.Pieces.from_file(_tokenizer_path(PIECE_FILE))
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = sentencepiece_unigram.decode(
-        sentencepiece_unigram.encode(docs, pieces), pieces)
+    coded = sentencepiece_unigram.encode(docs, pieces, decoded_col="decoded")
     return coded.select(
         "doc_id", F.size("piece_ids").cast("long").alias("n_pieces"),
         F.xxhash64("piece_ids").alias("ids_hash"),
@@ -121,6 +121,11 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                       written(F.col("spans")).alias("spans"))
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = jaccard_join.jaccard_join(_table(spark, sf_dir, "documents"), shingle_words=4, percent=85)
+    return out.select("doc_id", "n_shingles", "component_id", "class_id", "class_size", "n_links")
+
+
 def _damaged(convs: DataFrame) -> DataFrame:
     """The rows of the contract of op12, ``copies`` of each."""
     def plain(name):
@@ -177,5 +182,5 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_url_filter, op3_token_counts, op4_sharding,
     op5_decontamination, op6_chat_formatting, op7_sentencepiece, op8_exact_dedup, op9_near_dedup, op10_pii,
-    op12_conversation_repair, op13_periodic_runs,
+    op11_jaccard_join, op12_conversation_repair, op13_periodic_runs,
 )}

@@ -42,6 +42,8 @@ MARKER = "▁"
 UNKNOWN_PENALTY = 10.0
 ZIPF_SHIFT = 2.7
 LONG_CHARS = 64
+#: What a worker holds at a time: characters to encode, ids to decode (or one longer text).
+BLOCK_CHARS, BLOCK_IDS = 1 << 19, 1 << 18
 
 
 class Pieces:
@@ -181,25 +183,38 @@ class UnigramCodec(PieceDecoder):
         return [b"".join(map(self.packed.__getitem__, w)) for w in words]
 
 
-def encode(docs: DataFrame, pieces: Pieces, text_col: str = "text",
-           ids_col: str = "piece_ids") -> DataFrame:
-    """``docs`` with the array of piece ids of each text under ``ids_col``."""
+def _without(docs: DataFrame, *names: str) -> DataFrame:
+    gone = {n.lower() for n in names}
+    return docs.select(*[docs[f"`{c}`"] for c in docs.columns if c.lower() not in gone])
+
+
+def encode(docs: DataFrame, pieces: Pieces, text_col: str = "text", ids_col: str = "piece_ids",
+           decoded_col: str | None = None) -> DataFrame:
+    """``docs`` with the array of piece ids of each text under ``ids_col`` and, if ``decoded_col`` is given,
+    what the ids decode to, in the same pass.  A worker holds the ids of one block at a time."""
     shared = docs.sparkSession.sparkContext.broadcast(pieces)
-    kept = [c for c in docs.columns if c.lower() != ids_col.lower()]
-    docs = docs.select(*[docs[f"`{c}`"] for c in kept])
+    docs = _without(docs, ids_col, *([decoded_col] if decoded_col else []))
     schema = StructType([*docs.schema.fields, StructField(ids_col, ArrayType(IntegerType()))])
-    at = [c.lower() for c in kept].index(text_col.lower())
+    if decoded_col:
+        schema = schema.add(decoded_col, "string")
+    at = [c.lower() for c in docs.columns].index(text_col.lower())
 
     def run(batches):
         codec = per_worker(UnigramCodec, shared.value)
         for batch in batches:
-            texts = (text.as_py() or "" for text in batch.column(at))
-            packed = [ids for block in blocks(texts) for ids in codec.encode(block)]
-            ends = np.cumsum([0] + [len(p) // 4 for p in packed], dtype=np.int64)
-            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(
-                np.frombuffer(b"".join(packed), np.int32)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, ids],
-                                             names=[*batch.schema.names, ids_col])
+            first = 0
+            for block in blocks((t.as_py() or "" for t in batch.column(at)), BLOCK_CHARS):
+                packed = codec.encode(block)
+                ends = np.cumsum([0] + [len(p) // 4 for p in packed], dtype=np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(
+                    np.frombuffer(b"".join(packed), np.int32)))
+                columns = [*batch.slice(first, len(block)).columns, ids]
+                first += len(block)
+                if decoded_col:
+                    columns.append(pa.array((codec.decode(np.frombuffer(p, np.int32).tolist())
+                                             for p in packed), pa.string()))
+                del packed
+                yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
         codec.packed.clear()  # the worker may serve other stages next
 
     return docs.mapInArrow(run, schema)
@@ -209,20 +224,23 @@ def decode(docs: DataFrame, pieces: Pieces, ids_col: str = "piece_ids",
            out_col: str = "decoded") -> DataFrame:
     """``docs`` with the text of ``ids_col`` under ``out_col``; null ids give an empty text."""
     shared = docs.sparkSession.sparkContext.broadcast(pieces)
-    kept = [c for c in docs.columns if c.lower() != out_col.lower()]
-    docs = docs.select(*[docs[f"`{c}`"] for c in kept])
+    docs = _without(docs, out_col)
     schema = StructType([*docs.schema.fields]).add(out_col, "string")
-    at = [c.lower() for c in kept].index(ids_col.lower())
+    at = [c.lower() for c in docs.columns].index(ids_col.lower())
 
     def run(batches):
         decoder = per_worker(PieceDecoder, shared.value)
         for batch in batches:
             column = batch.column(at)
-            ids = column.values.fill_null(0).to_numpy().tolist()
-            ends = column.offsets.to_pylist()
-            texts = [decoder.decode(ids[a:b]) if there else "" for a, b, there in
-                     zip(ends, ends[1:], column.is_valid().to_pylist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
-                                             names=[*batch.schema.names, out_col])
+            flat, ends = column.values.fill_null(0).to_numpy(), column.offsets.to_numpy()
+            there = column.is_valid().to_numpy(zero_copy_only=False)
+            first = 0
+            while first < len(batch):
+                last = max(first + 1, int(np.searchsorted(ends, ends[first] + BLOCK_IDS, "right")) - 1)
+                texts = [decoder.decode(flat[a:b].tolist()) if known else "" for a, b, known in
+                         zip(ends[first:last], ends[first + 1:last + 1], there[first:last])]
+                columns = [*batch.slice(first, last - first).columns, pa.array(texts, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
+                first = last
 
     return docs.mapInArrow(run, schema)
