@@ -27,8 +27,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from lotwise.llm.rows import fresh
+from lotwise.llm.rows import fresh, placed
 from lotwise.session import checkpoint_dir
 
 ORDER = 3
@@ -298,12 +299,12 @@ class SplitTrees:
         """``docs``, a stored table, with the total bits of ``text`` (not null) by class."""
         shared = self.shared
         row = fresh(docs, "row")
-        numbered = docs.withColumn(row, F.monotonically_increasing_id())
+        numbered = placed(docs, row)
 
         def run(batches):
             index, known = shared.value
             for batch in batches:
-                rows = ((i, t.as_py().encode()) for i, t in zip(batch.column(0), batch.column(1)))
+                rows = ((i, t.as_py().encode()) for i, t in enumerate(batch.column(1)))
                 for block in _blocks(rows):
                     codes, ends = grams([t for _, t in block])
                     owner = np.repeat(np.arange(len(block)), np.diff(ends, prepend=0))
@@ -317,13 +318,15 @@ class SplitTrees:
                     other = pa.StructArray.from_arrays(
                         [pa.array(rest & _MASKS[3]), pa.array(n.astype(np.int64))], ["gram", "n"])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([i.as_py() for i, _ in block], pa.int64()),
+                        [batch.column(0).slice(block[0][0], len(block)),
                          pa.array(list(bits), pa.list_(pa.float64())),
                          pa.ListArray.from_arrays(pa.array(cuts), other)],
                         names=["row", "bits", "rest"])
 
-        parts = (numbered.select(F.col(row).alias("row"), text.alias("text")).mapInArrow(
-            run, "row long, bits array<double>, rest array<struct<gram:long,n:long>>").checkpoint())
+        texts = numbered.select(F.col(row).alias("row"), text.alias("text"))
+        made = StructType.fromDDL("bits array<double>, rest array<struct<gram:bigint,n:bigint>>")
+        parts = texts.mapInArrow(
+            run, StructType([texts.schema["row"], *made.fields])).checkpoint()
         rest = parts.select("row", F.inline("rest"))
         # Sums by class before rows meet again: a text has as many as there are classes.
         more = (rest.join(self.code_lengths(rest.select("gram").distinct()), "gram")

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
 from lotwise.llm import shingles
-from lotwise.llm.rows import fresh
+from lotwise.llm.rows import fresh, placed
 from lotwise.session import checkpoint_dir
 
 WINDOW, GRAM = 13, 5
@@ -77,12 +77,11 @@ def _around(hashes: np.ndarray, bounds: np.ndarray, text: np.ndarray, at: np.nda
 
 
 def _fingerprints(table: DataFrame, id_col: str, text_col: str, window: int, k: int,
-                  short: list[int] | None, bitmap: np.ndarray | None) -> DataFrame:
+                  short: list[int] | None, bitmap: np.ndarray | None, row_col: str) -> DataFrame:
     """``row_id, id, n_words, candidates`` for each row of ``table``: its fingerprints that
     pass the bitmap.  ``short``: the lengths of short items to look for; None for items,
     which have those of their own length."""
-    slim = table.select(F.monotonically_increasing_id().alias("row_id"),
-                        F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    slim = table.select(F.col(row_col).alias("row_id"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     schema = (StructType([*slim.schema.fields[:2]]).add("n_words", "long")
               .add("candidates", DataType.fromDDL(_CANDIDATES)))
     shared = table.sparkSession.sparkContext.broadcast(bitmap)
@@ -172,26 +171,31 @@ def _extend(pairs: DataFrame, window: int, k: int) -> DataFrame:
                      pa.array(start.astype(np.int32)).filter(hit), ends.filter(hit)],
                     names=["row_id", "item_id", "start", "end"])
 
-    return pairs.mapInArrow(run, "row_id long, item_id string, start int, end int")
+    schema = (StructType([pairs.schema["row_id"]]).add("item_id", "string")
+              .add("start", "integer").add("end", "integer"))
+    return pairs.mapInArrow(run, schema)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                   text_col: str = "text", item_col: str = "item_id",
                   item_text_col: str = "text", window: int = WINDOW, k: int = GRAM,
-                  filter_bits: int = FILTER_BITS) -> DataFrame:
+                  filter_bits: int = FILTER_BITS, row_col: str | None = None) -> DataFrame:
     """One row per row of ``docs``: ``row_id, doc_id, n_words, n_hit, item_ids`` (sorted
     strings), ``spans`` (merged hit spans, as word positions) and ``contaminated``.
-    ``row_id`` is ``monotonically_increasing_id()`` over ``docs``, a stored table."""
+    ``row_id`` is the row's place (``rows.placed``), or ``row_col``."""
     checkpoint_dir(docs.sparkSession)
+    if row_col is None:
+        row_col = fresh(docs, "row_id")
+        docs = placed(docs, row_col)
     named = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit(""))
                              .alias("item_id"), F.col(item_text_col).alias("text"))
-    items = _fingerprints(named, "item_id", "text", window, k, None, None).checkpoint()
+    items = _fingerprints(named, "item_id", "text", window, k, None, None, "item_id").checkpoint()
     prints = (items.select(F.col("id").alias("item_id"), F.explode("candidates").alias("c"))
               .select("item_id", "c.span", "c.gram", F.col("c.around").alias("b")).distinct())
     short = [r["n_words"] for r in items.where(F.col("n_words").between(1, window - 1))
              .select("n_words").distinct().collect()]
     judged = _fingerprints(docs, id_col, text_col, window, k, sorted(short),
-                           _bitmap(prints, filter_bits)).checkpoint()
+                           _bitmap(prints, filter_bits), row_col).checkpoint()
 
     candidates = (judged.select("row_id", F.explode("candidates").alias("c"))
                   .select("row_id", "c.span", "c.gram", "c.pos", F.col("c.around").alias("a")))
@@ -222,7 +226,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without the contaminated ones, all columns kept."""
     row = fresh(docs, "row_id")
-    dropped = decontaminate(docs, benchmark, **options).where("contaminated").select(
-        F.col("row_id").alias(row))
-    return (docs.withColumn(row, F.monotonically_increasing_id())
-            .join(dropped, row, "left_anti").drop(row))
+    docs = placed(docs, row)
+    dropped = (decontaminate(docs, benchmark, row_col=row, **options).where("contaminated")
+               .select(F.col("row_id").alias(row)))
+    return docs.join(dropped, row, "left_anti").drop(row)

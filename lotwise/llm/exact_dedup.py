@@ -25,11 +25,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.rows import key_bitmap, lower_ascii, may_contain
+from lotwise.llm.rows import filter_bits as bits_for
+from lotwise.llm.rows import fresh, key_bitmap, lower_ascii, may_contain, placed
 from lotwise.session import checkpoint_dir
 
 PREFIX_CHARS = 64
-FILTER_BITS = 1 << 20
 
 
 def normalised(text: Column) -> Column:
@@ -38,11 +38,16 @@ def normalised(text: Column) -> Column:
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 carry: dict[str, Column] | None = None, prefix_chars: int = PREFIX_CHARS,
-                filter_bits: int = FILTER_BITS) -> DataFrame:
+                filter_bits: int | None = None, row_col: str | None = None) -> DataFrame:
     """One row per row of ``docs``: ``row_id, doc_id, keep_id, group_size, kept`` and
-    the expressions of ``carry``.  ``row_id`` is ``monotonically_increasing_id()`` over
-    ``docs``, which must be a stored table (a scan numbers its rows alike each time)."""
+    the expressions of ``carry``.  ``row_id`` is the row's place (``rows.placed``), or ``row_col``.
+    The filters have bits for each row unless ``filter_bits`` are given."""
     checkpoint_dir(docs.sparkSession)
+    if row_col is None:
+        row_col = fresh(docs, "row_id")
+        docs = placed(docs, row_col)
+    if filter_bits is None:
+        filter_bits = bits_for(docs.count(), each=4)
     text = F.coalesce(F.col(text_col), F.lit(""))
     length = F.octet_length(text)
     prefix = F.xxhash64(lower_ascii(F.substring(text, 1, prefix_chars)))
@@ -58,7 +63,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     survives = shared_length & may_contain(by_prefix, [length, prefix], filter_bits)
     slim = docs.select(
-        F.monotonically_increasing_id().alias("row_id"), F.col(id_col).alias("doc_id"),
+        F.col(row_col).alias("row_id"), F.col(id_col).alias("doc_id"),
         F.when(survives, F.unhex(F.sha2(normalised(F.col(text_col)), 256))).alias("full_hash"),
         *[c.alias(name) for name, c in (carry or {}).items()],
     ).checkpoint()
@@ -82,10 +87,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the copies, all columns kept."""
-    from lotwise.llm.rows import fresh
-
     row = fresh(docs, "row_id")
-    dropped = exact_dedup(docs, id_col, text_col).where(~F.col("kept")).select(
-        F.col("row_id").alias(row))
-    return (docs.withColumn(row, F.monotonically_increasing_id())
-            .join(dropped, row, "left_anti").drop(row))
+    docs = placed(docs, row)
+    dropped = (exact_dedup(docs, id_col, text_col, row_col=row).where(~F.col("kept"))
+               .select(F.col("row_id").alias(row)))
+    return docs.join(dropped, row, "left_anti").drop(row)

@@ -94,8 +94,11 @@ def predict(docs: DataFrame, model: Model | None,
 
 def _predict_split(docs: DataFrame, model: context_tree.SplitTrees, letters: Column,
                    text_col: str, outputs: list[str]) -> DataFrame:
-    bits = fresh(docs, "class_bits")
-    coded = model.with_bits(docs, F.when(letters, F.col(text_col)).otherwise(""), bits)
+    # Whether a text has letters is told before rows meet, so that no text need go through the join.
+    bits, flag = fresh(docs, "class_bits"), fresh(docs, "has_letters")
+    coded = model.with_bits(docs.withColumn(flag, letters),
+                            F.when(letters, F.col(text_col)).otherwise(""), bits)
+    letters = F.col(flag)
     least = F.array_min(bits)
     names = F.array(*map(F.lit, model.labels))
     lang = F.element_at(names, F.array_position(F.col(bits), least).cast("int"))

@@ -19,7 +19,7 @@ ASCII white space).  Documents whose sets have a Jaccard similarity of at least
    the block leave the task, fewer than it has rows, so a group of thousands of
    documents just below the threshold makes no table of pairs.
 5. Full sets come from a second scan, for classes that share a band hash with another one
-   (a bitmap of fixed size lets the others pass by).
+   (a bitmap, sized by their number, lets the others pass by).
 
 With 32 bands of 5 rows a pair at 0.8 fails to be a candidate with a probability of 3e-6.
 The sketch rejects a pair only beyond ``MAX_DIFFERING`` estimated differing samples: at 0.8, 32 of 160
@@ -40,14 +40,14 @@ from pyspark.sql.types import ArrayType, LongType, StructType
 
 from lotwise.llm import shingles
 from lotwise.llm.components import components
-from lotwise.llm.rows import fresh, key_bitmap, may_contain
+from lotwise.llm.rows import filter_bits as bits_for
+from lotwise.llm.rows import fresh, key_bitmap, may_contain, placed
 from lotwise.session import checkpoint_dir
 
 SHINGLE_WORDS, PERCENT = 5, 80
 BANDS, ROWS = 32, 5
 SKETCH_BITS = 512
 MAX_DIFFERING = 68
-FILTER_BITS = 1 << 20
 BLOCK = 1024
 SHINGLES_AT_ONCE = 1 << 15
 
@@ -155,18 +155,19 @@ def _differing_bits(a: str, b: str) -> Column:
 
 
 def _full_sets(wanted: DataFrame, docs: DataFrame, size: int, filter_bits: int) -> DataFrame:
-    """``node, shingles`` of the rows ``wanted.node``, made from their texts again."""
-    likely = docs.where(may_contain(key_bitmap(wanted, ["node"], filter_bits),
+    """``node, shingles`` of ``wanted`` (``node, row_id``), made from their texts again."""
+    likely = docs.where(may_contain(key_bitmap(wanted, ["row_id"], filter_bits),
                                     [F.col("row_id")], filter_bits))
+    schema = StructType([docs.schema["row_id"]]).add("shingles", "binary")
 
     def make(batches):
         for batch in batches:
             own = [s.tobytes() for block in shingles.text_blocks(_texts(batch, 2))
                    for s in sets(block, size)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())],
-                                             names=["node", "shingles"])
+                                             names=["row_id", "shingles"])
 
-    return likely.mapInArrow(make, "node long, shingles binary").join(wanted, "node")
+    return likely.mapInArrow(make, schema).join(wanted, "row_id").select("node", "shingles")
 
 
 def _verify(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
@@ -266,29 +267,34 @@ def _links_across(members: DataFrame, percent: int) -> DataFrame:
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT,
-               filter_bits: int = FILTER_BITS) -> DataFrame:
+               filter_bits: int | None = None, row_col: str | None = None) -> DataFrame:
     """One row per row of ``docs``: ``row_id, doc_id, n_shingles, component_id, kept``.
-    ``row_id`` is ``monotonically_increasing_id()`` over ``docs``, a stored table.  ``kept``
-    holds for one row of each component."""
+    ``row_id`` is the row's place (``rows.placed``), or ``row_col``.  ``kept`` holds for one row of
+    each component."""
     checkpoint_dir(docs.sparkSession)
-    slim = docs.select(F.monotonically_increasing_id().alias("row_id"),
-                       F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    if row_col is None:
+        row_col = fresh(docs, "row_id")
+        docs = placed(docs, row_col)
+    slim = docs.select(F.col(row_col).alias("row_id"), F.col(id_col).alias("doc_id"),
+                       F.col(text_col).alias("text"))
     profiles = _profiles(slim, shingle_words).checkpoint()
 
-    # Equal sets: a class is known by its first row.
+    # Equal sets: a class is known by its first row, and by a number once that is stored.
     classes = (profiles.where("set_key is not null").groupBy("set_key")
-               .agg(F.min("row_id").alias("node"),
-                    F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row_id"))
-                    .alias("first")).checkpoint())
-    nodes = (profiles.join(classes.select(F.col("node").alias("row_id")), "row_id")
-             .select(F.col("row_id").alias("node"), "bands", "sketch"))
+               .agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row_id"))
+                    .alias("first"))
+               .withColumn("node", F.monotonically_increasing_id()).checkpoint())
+    firsts = classes.select("node", F.col("first.row_id").alias("row_id"))
+    nodes = profiles.join(firsts, "row_id").select("node", "bands", "sketch")
 
     banded = nodes.select("node", F.explode("bands").alias("band"))
     hubs = (banded.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
             .where("hub != last").select("band", "hub").checkpoint())
     members = banded.join(hubs, "band").checkpoint()
     wanted = members.select("node").distinct().checkpoint()
-    full = (nodes.join(_full_sets(wanted, slim, shingle_words, filter_bits), "node")
+    if filter_bits is None:
+        filter_bits = bits_for(wanted.count())
+    full = (nodes.join(_full_sets(wanted.join(firsts, "node"), slim, shingle_words, filter_bits), "node")
             .checkpoint())
 
     sketches = full.select("node", "sketch")
@@ -334,6 +340,7 @@ def _grouped(profiles: DataFrame, classes: DataFrame, labels: DataFrame) -> Data
 def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
     """One document of each component of ``docs``, all columns kept."""
     row = fresh(docs, "row_id")
-    dropped = near_dedup(docs, **options).where(~F.col("kept")).select(F.col("row_id").alias(row))
-    return (docs.withColumn(row, F.monotonically_increasing_id())
-            .join(dropped, row, "left_anti").drop(row))
+    docs = placed(docs, row)
+    dropped = (near_dedup(docs, row_col=row, **options).where(~F.col("kept"))
+               .select(F.col("row_id").alias(row)))
+    return docs.join(dropped, row, "left_anti").drop(row)

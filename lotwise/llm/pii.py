@@ -36,7 +36,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lotwise.llm.rows import lower_ascii
+from lotwise.llm.rows import fresh, lower_ascii, placed
 from lotwise.session import checkpoint_dir
 
 KINDS = ("email", "ip", "card", "phone")
@@ -181,11 +181,11 @@ def score_patterns(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) ->
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              confidence: float = CONFIDENCE, rounds: int = ROUNDS) -> DataFrame:
     """One row per row of ``docs``: ``row_id, doc_id, spans``, an array of (kind number,
-    start, end, base) in that order; ``KINDS`` names the kinds.  ``row_id`` is
-    ``monotonically_increasing_id()`` over ``docs``, a stored table."""
+    start, end, base) in that order; ``KINDS`` names the kinds.  ``row_id`` is the row's
+    place (``rows.placed``)."""
     checkpoint_dir(docs.sparkSession)
-    numbered = docs.select(F.monotonically_increasing_id().alias("row_id"),
-                           F.col(id_col).alias("doc_id"),
+    row = fresh(docs, "row_id")
+    numbered = placed(docs, row).select(F.col(row).alias("row_id"), F.col(id_col).alias("doc_id"),
                            F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     spans = _instances(_matches(numbered.select("row_id", "text"))).checkpoint()
     token = F.col("kind") == "token"

@@ -1,9 +1,14 @@
 """Helpers that several operators of this package use."""
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lotwise.session import checkpoint_dir
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -21,6 +26,34 @@ def fresh(df: DataFrame, stem: str) -> str:
     return name
 
 
+def _is_file_scan(docs: DataFrame) -> bool:
+    """Each row of ``docs`` is one row of a Parquet file."""
+    plan = docs._jdf.queryExecution().analyzed()
+    while plan.children().size() == 1 and plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().head()
+    return (plan.nodeName() == "LogicalRelation" or plan.nodeName().startswith("Relation")) and (
+        "parquet" in plan.simpleString(25).lower())
+
+
+def placed(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a column that tells its rows apart and is the same in every scan: a struct of the hash of
+    the row's Parquet file and its place in that file.  How a scan is split, which depends
+    on the executors at hand, doesn't matter to it.  What isn't a plain scan of Parquet files
+    is written to the shared folder and read from there."""
+    if not _is_file_scan(docs):
+        path = os.path.join(checkpoint_dir(docs.sparkSession), f"rows-{uuid.uuid4().hex}")
+        docs.write.parquet(path)
+        docs = docs.sparkSession.read.schema(docs.schema).parquet(path)
+    return docs.select("*", F.struct(F.xxhash64("_metadata.file_path").alias("file"),
+                                     F.col("_metadata.row_index").alias("row")).alias(name))
+
+
+def filter_bits(keys: int, each: int = 16, most: int = 1 << 26) -> int:
+    """Bits of a filter for so many keys: a power of two, ``most`` (8 MB) at the most; beyond that it lets more
+    rows pass, and loses none."""
+    return min(most, 1 << max(16, (each * keys - 1).bit_length()))
+
+
 def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
