@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from lotwise.llm import (decontaminate, exact_dedup, language_id, near_dedup,
                          sentencepiece_unigram)
+from lotwise.llm.rows import fresh
 from lotwise.session import checkpoint_dir
 
 PIECE_FILE = "piece_bpe_32k.model"
@@ -30,12 +31,12 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     model = language_id.learn(docs)
     if model is None:
         return docs.where(language_id.has_letter(F.col("text")))
-    judged = language_id.predict(docs, model, lang_out="__lang", score_out="__score",
-                                 bits_out="__bits")
-    fits = (language_id.rate(F.col("__bits"), F.col("text"))
+    lang, score, bits = (fresh(docs, name) for name in ("said_lang", "said_score", "said_bits"))
+    judged = language_id.predict(docs, model, lang_out=lang, score_out=score, bits_out=bits)
+    fits = (language_id.rate(F.col(bits), F.col("text"))
             <= F.lit(language_id.learn_bound(docs)))
-    return (judged.where((F.col("__lang") != language_id.UNDETERMINED) & fits)
-            .select(*docs.columns))
+    return (judged.where((F.col(lang) != language_id.UNDETERMINED) & fits)
+            .select(*[judged[f"`{c}`"] for c in docs.columns]))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,8 +55,8 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     import public_tokenizers
 
     pieces = sentencepiece_unigram.Pieces.from_file(public_tokenizers.path(PIECE_FILE))
-    coded = sentencepiece_unigram.decode(sentencepiece_unigram.encode(
-        docs.select("doc_id", "lang", "source", "text"), pieces), pieces)
+    coded = sentencepiece_unigram.encode(docs.select("doc_id", "lang", "source", "text"), pieces,
+                                         decoded_col="decoded")
     same = F.col("decoded") == F.translate("text", sentencepiece_unigram.MARKER, " ")
     return coded.select("doc_id", "lang", "source", "piece_ids",
                         F.size("piece_ids").cast("long").alias("n_pieces"),
