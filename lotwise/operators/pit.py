@@ -1,47 +1,25 @@
 """Point-in-time counts (C11, C12) for leak-free features (O2).
 
-``as_of_counts`` answers "how many timeline rows with (time, kind) <= this
-observation" per key, with no per-key Python loop and no single-partition
-window:
-
-* the timeline (facts + observations) is cut into (key, hour) buckets;
-* an exclusive prefix sum over the small per-bucket table gives each bucket's
-  offset (window partitioned by key over at most one row per hour);
-* a window partitioned by (key, bucket) gives the running sum inside the
-  bucket.
-
-A hot key therefore spreads over as many tasks as it has hours.  Ordering
-within equal times uses ``kind``: facts that count at ``<=`` sort before the
+"How many timeline rows with (time, kind) <= this observation" is a running total of
+the timeline (facts and observations together) per key: ``scan.segmented_sums``, whose
+partitions follow the rows, so neither a busy key nor a busy hour is one task's.
+Facts of one key, time and kind are one row of it.
+
+Ordering within equal times uses ``kind``: facts that count at ``<=`` sort before the
 observation kind, facts that count only at ``<`` sort after it, which
 reproduces ``searchsorted(side='right')`` and ``side='left'`` respectively.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lotwise.operators.scan import segmented_sums
+
 # Timeline kinds: entries/views count when <= t, exits only when < t.
 ENTRY, VIEW, OBSERVATION, EXIT = 0, 1, 2, 3
 
 
-def running_totals(timeline: DataFrame, keys: list[str], time: str, order: list[Column],
-                   values: list[str], bucket: str = "hour") -> DataFrame:
-    """Inclusive running sums of ``values`` per ``keys`` in (time, *order) order.
-
-    Output columns ``run_<value>``.  Rows must have non-null keys."""
-    tl = timeline.withColumn("__bucket", F.date_trunc(bucket, F.col(time).cast("timestamp")))
-    per_bucket = tl.groupBy(*keys, "__bucket").agg(*[F.sum(v).alias(f"__b_{v}") for v in values])
-    prior = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(*keys, "__bucket", *[
-        F.coalesce(F.sum(f"__b_{v}").over(prior), F.lit(0)).alias(f"__o_{v}") for v in values])
-    inside = (Window.partitionBy(*keys, "__bucket").orderBy(F.col(time), *order)
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    within = tl.select("*", *[F.sum(v).over(inside).alias(f"__w_{v}") for v in values])
-    out = within.join(offsets, [*keys, "__bucket"], "inner")
-    return out.select(*timeline.columns, *[(F.col(f"__o_{v}") + F.col(f"__w_{v}")).alias(f"run_{v}")
-                                           for v in values])
-
-
 def _ts(c: Column) -> Column:
     return c.cast("timestamp_ntz")
 
@@ -77,7 +55,7 @@ def market_context(observations: DataFrame, cars: DataFrame, events: DataFrame,
               .unionByName(inv.filter(keyed & F.col("exit").isNotNull())
                            .select("city", "body_type", F.col("exit").alias("t"), *lit_cols(EXIT, 0, -1)))
               .unionByName(obs.filter(keyed).select("city", "body_type", "t", *lit_cols(OBSERVATION, 0, 0))))
-    seg_run = (running_totals(seg_tl, ["city", "body_type"], "t", [F.col("kind")], ["dv", "dl"])
+    seg_run = (segmented_sums(seg_tl, ["city", "body_type"], ["t", "kind"], ["dv", "dl"])
                .filter(F.col("kind") == OBSERVATION)
                .select("city", "body_type", "t", F.col("run_dv").alias("demand_count"),
                        F.col("run_dl").alias("segment_live")))
@@ -89,16 +67,16 @@ def market_context(observations: DataFrame, cars: DataFrame, events: DataFrame,
                .unionByName(inv.filter(F.col("city").isNotNull() & F.col("exit").isNotNull())
                             .select("city", F.col("exit").alias("t"), *lit_cols(EXIT, 0, -1)))
                .unionByName(city_obs.select("city", "t", *lit_cols(OBSERVATION, 0, 0))))
-    city_run = (running_totals(city_tl, ["city"], "t", [F.col("kind")], ["dl"])
+    city_run = (segmented_sums(city_tl, ["city"], ["t", "kind"], ["dl"])
                 .filter(F.col("kind") == OBSERVATION)
                 .select("city", "t", F.col("run_dl").alias("city_live")))
 
-    # Global view timeline: one running count over time (bucketed by hour).
+    # Global view timeline: one running count over time.
     all_obs = obs.select("t").distinct()
     glob_tl = (views.select("t", *lit_cols(VIEW, 1, 0))
                .unionByName(all_obs.select("t", *lit_cols(OBSERVATION, 0, 0))))
     glob_tl = glob_tl.withColumn("__all", F.lit(0))
-    glob_run = (running_totals(glob_tl, ["__all"], "t", [F.col("kind")], ["dv"])
+    glob_run = (segmented_sums(glob_tl, ["__all"], ["t", "kind"], ["dv"])
                 .filter(F.col("kind") == OBSERVATION)
                 .select("t", F.col("run_dv").alias("total_views")))
 

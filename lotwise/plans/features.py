@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotwise.functions import clip_lower, epoch_seconds
-from lotwise.operators.pit import attach_market_context, running_totals
+from lotwise.operators.pit import attach_market_context
+from lotwise.operators.scan import segmented_sums
 from lotwise.session import checkpoint_dir
 
 PRICE_FEATURES = [
@@ -138,8 +139,7 @@ def build_booking_dataset(impressions: DataFrame, sessions: DataFrame, users: Da
                             & F.col("session_start").isNotNull())
                  .groupBy("user_id", "session_sequence_number", "session_start")
                  .agg(F.max(F.col("booked").cast("int")).alias("b")).withColumn("one", F.lit(1)))
-    hist = running_totals(sess_book, ["user_id"], "session_start",
-                          [F.col("session_sequence_number")], ["one", "b"])
+    hist = segmented_sums(sess_book, ["user_id"], ["session_start", "session_sequence_number"], ["one", "b"])
     hist = hist.select("user_id", "session_sequence_number",
                        (F.col("run_one") - 1).cast("long").alias("prior_sessions"),
                        (F.col("run_b") - F.col("b")).cast("long").alias("prior_bookings"))
