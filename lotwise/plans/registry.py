@@ -449,6 +449,11 @@ from lotwise.plans import models as MD  # noqa: E402
 
 _FITTED: dict = {}
 
+#: Split dates of the driver's tables, by data set.
+PRICE_DATES = dict(train_end="2023-12-14", validation_end="2023-12-28", test_end="2024-12-31")
+SELL_DATES = dict(train_end="2024-01-02", validation_end="2024-01-18", test_end="2024-12-31")
+IMPRESSION_DATES = dict(train_end="1998-12-23", validation_end="2000-04-06", test_end="2002-12-31")
+
 
 def _fitted(spark, d, what):
     """Fit each model once per (dataset dir, model) in this process."""
@@ -457,17 +462,17 @@ def _fitted(spark, d, what):
         m = _mp(spark, d)
         if what == "price":
             ds = O.build_price_dataset(m.cars, m.events).checkpoint(eager=True)
-            _FITTED[key] = MD.train_price_model(ds, O.PRICE_FEATURES, O.PRICE_CAT)
+            _FITTED[key] = MD.train_price_model(ds, O.PRICE_FEATURES, O.PRICE_CAT, dates=PRICE_DATES)
         elif what == "sellthrough":
             ds = O.build_sellthrough_dataset(m.cars, m.events).checkpoint(eager=True)
             _FITTED[key] = MD.train_classifier(ds, "label_sold_30d", O.SELL_FEATURES, O.SELL_CAT,
-                                               ["car_id", "snapshot_age"])
+                                               ["car_id", "snapshot_age"], rounds=MD.SELL_ROUNDS, dates=SELL_DATES)
         elif what == "booking":
             ds = O.build_booking_dataset(m.impressions, m.sessions, m.users, m.cars, m.events) \
-                .withColumn("__row", F.concat_ws("|", "session_id", "car_id", F.col("observation_date").cast("string"))) \
+                .withColumn("__id", F.concat_ws("|", "session_id", "car_id", F.col("observation_date").cast("string"))) \
                 .checkpoint(eager=True)
             _FITTED[key] = MD.train_classifier(ds, "label_booked", O.BOOKING_FEATURES, O.BOOKING_CAT,
-                                               ["session_id", "car_id", "__row"])
+                                               ["session_id", "car_id", "__id"], dates=IMPRESSION_DATES)
     return _FITTED[key]
 
 
@@ -620,7 +625,7 @@ def _ranking_eval(spark, d):
     """One ranker fit + blend search + strategy comparison per dataset."""
     key = (spark.sparkContext.applicationId, d)
     if key not in _EVAL:
-        ev = RD.ranking_evaluation(_ranking_dataset(spark, d), _mp(spark, d).cars)
+        ev = RD.ranking_evaluation(_ranking_dataset(spark, d), _mp(spark, d).cars, dates=IMPRESSION_DATES)
         _EVAL[key] = {k: (v.checkpoint(eager=True) if hasattr(v, "checkpoint") else v) for k, v in ev.items()}
     return _EVAL[key]
 
@@ -637,7 +642,7 @@ def _r11(spark, d):
 
 @register("L9_ablation_study")
 def _l9(spark, d):
-    return RD.ablation_study(_ranking_dataset(spark, d), _mp(spark, d).cars)
+    return RD.ablation_study(_ranking_dataset(spark, d), _mp(spark, d).cars, IMPRESSION_DATES)
 
 
 # ---------------------------------------------------------- scoring labels and explanations
@@ -653,11 +658,10 @@ def _l11(spark, d):
 @register("S23_price_feature_importance")
 def _s23(spark, d):
     b = _fitted(spark, d, "price")
-    return MD.global_importance(b["models"]["random_forest"], b["features"], b["cat"])
+    return MD.global_importance(b["models"]["random_forest"], b["features"])
 
 
 @register("S24_price_local_factors")
 def _s24(spark, d):
     b = _fitted(spark, d, "price")
-    rows = b["test"].select("car_id", *b["features"])
-    return MD.linear_contributions(b["ridge"], rows, b["features"], b["cat"], "car_id", top_k=5)
+    return MD.linear_contributions(b["ridge"], b["test"].select("car_id", "features"), "car_id", top_k=5)
