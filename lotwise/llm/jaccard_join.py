@@ -44,7 +44,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
+from pyspark.sql.types import ArrayType, LongType, StructType
 
 from lotwise.llm import shingles
 from lotwise.llm.components import components
@@ -162,8 +162,8 @@ class Plan:
                 at = (place * np.uint64(m) >> np.uint64(32)).astype(np.int64)
                 start = np.flatnonzero(np.diff(at, prepend=-1))
                 tag = int(shingles.mix(np.array([(space << 8) + number], np.uint64))[0])
-                hashes, sizes = np.zeros(m, np.uint64), np.zeros(m, np.int32)
-                sizes[at[start]] = np.diff(start, append=len(part))
+                hashes, sizes = np.zeros(m, np.uint64), np.zeros(m, np.uint8)
+                sizes[at[start]] = np.minimum(np.diff(start, append=len(part)), MOST)
                 total = np.add.reduceat(shingles.mix(part), start)
                 hashes[at[start]] = shingles.mix(
                     total ^ shingles.mix(np.uint64(tag) + at[start].astype(np.uint64)))
@@ -185,7 +185,9 @@ def _subset_keys(own: np.ndarray, plan: Plan, boundary: int):
 
 
 _ENTRY = (StructType().add("tag", "long").add("size", "long").add("hashes", ArrayType(LongType()))
-          .add("sizes", ArrayType(IntegerType())).add("least", ArrayType(LongType())))
+          .add("sizes", "binary").add("least", ArrayType(LongType())))
+#: Sizes of slices are written as bytes; this one means "so many or more".
+MOST = 255
 
 
 def _lists(values: list[np.ndarray], kind) -> pa.ListArray:
@@ -198,7 +200,8 @@ def _grid_array(of_sets: list[list[tuple]]) -> pa.ListArray:
     entries = [entry for grids in of_sets for entry in grids]
     tag, size, hashes, sizes, least = ([e[i] for e in entries] for i in range(5))
     arrays = [pa.array(np.array(tag, np.uint64).view(np.int64)), pa.array(size, pa.int64()),
-              _lists([h.view(np.int64) for h in hashes], np.int64), _lists(sizes, np.int32),
+              _lists([h.view(np.int64) for h in hashes], np.int64),
+              pa.array([s.tobytes() for s in sizes], pa.binary()),
               _lists([h.view(np.int64) for h in least], np.int64)]
     offsets = np.cumsum([0, *map(len, of_sets)]).astype(np.int32)
     return pa.ListArray.from_arrays(
@@ -310,8 +313,9 @@ _EDGES = "a long, b long, n long"
 def _candidates_in(part: pa.Table, low: int, high: int, plan: Plan) -> list:
     """Pairs that the slices leave possible and that join groups of the block."""
     own, node, size = (part[c].to_numpy() for c in ("own", "node", "size"))
-    hashes, sizes = (np.stack([np.asarray(v.values) for c in part[name].chunks for v in c])
-                     for name in ("hashes", "sizes"))
+    hashes = np.stack([np.asarray(v.values) for c in part["hashes"].chunks for v in c])
+    sizes = np.stack([np.frombuffer(v.as_buffer(), np.uint8) for c in part["sizes"].chunks
+                      for v in c]).astype(np.int16)
     label, links = np.arange(len(node)), []
     for i in np.flatnonzero(own == low).tolist():
         other = (own == high) & (label != label[i])
@@ -322,7 +326,8 @@ def _candidates_in(part: pa.Table, low: int, high: int, plan: Plan) -> list:
         if not len(other):
             continue
         gap = np.abs(sizes[other] - sizes[i])
-        gap[(gap == 0) & (hashes[other] != hashes[i])] = 2
+        differ = (gap == 0) & (hashes[other] != hashes[i])
+        gap[differ] = np.where(sizes[i] < MOST, 2, 1)[np.nonzero(differ)[1]]
         total = size[other] + size[i]
         near = other[plan.links((total - gap.sum(axis=1)) // 2, size[other], size[i])]
         for j in near.tolist():
@@ -334,14 +339,16 @@ def _candidates_in(part: pa.Table, low: int, high: int, plan: Plan) -> list:
 
 def _heavy_edges(heavy: DataFrame, plan: Plan) -> DataFrame:
     """Edges between heavy sets that share a list and whose slices leave a link possible."""
-    grids = heavy.select("node", F.inline("grids"))
-    keys = F.filter(F.concat("hashes", "least"), lambda h: h != 0)
-    entries = grids.select("node", "tag", F.explode(keys).alias("key"))
-    shared = (entries.groupBy("tag", "key").agg(F.min("node").alias("first"), F.max("node").alias("last"))
-              .where("first != last").select("tag", "key"))
-    rows = (entries.join(shared, ["tag", "key"]).join(grids.drop("least"), ["node", "tag"])
+    grids = heavy.select("node", F.posexplode("grids").alias("at", "g"))
+    keys = F.filter(F.concat("g.hashes", "g.least"), lambda h: h != 0)
+    # The narrow rows are shuffled once, for the aggregate and for the join.
+    entries = grids.select("node", "at", F.explode(keys).alias("key")).repartition("key")
+    shared = (entries.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"))
+              .where("first != last").select("key"))
+    slim = grids.select("node", "at", "g.tag", "g.size", "g.hashes", "g.sizes")
+    rows = (entries.join(shared, "key").join(slim, ["node", "at"]).drop("at")
             .withColumn("slices", F.size("hashes")))
-    group = ["tag", "key"]
+    group = ["key", "tag"]
 
     def scan(batches):
         for part, low, high in _groups(batches, group):

@@ -113,3 +113,17 @@ def group_quantiles(df: DataFrame, by: list[str], value: str, quantiles: dict[st
         return F.when(low == high, low).otherwise(between).alias(name)
 
     return picked.select(*by, *[value_of(n, q) for n, q in quantiles.items()])
+
+
+def join_quantiles(grouped: DataFrame, rows: DataFrame, by: list[str], value: str,
+                   quantiles: dict[str, float]) -> DataFrame:
+    """``grouped`` (one row per group of ``by``) with the quantiles of ``value`` over ``rows``."""
+    keys = [f"__j{i}" for i in range(len(by))]
+    found = group_quantiles(rows, by, value, quantiles).select(
+        *[F.col(b).alias(k) for b, k in zip(by, keys)], *quantiles)
+    return grouped.join(found, [grouped[b].eqNullSafe(F.col(k)) for b, k in zip(by, keys)], "left").drop(*keys)
+
+
+def column_median(df: DataFrame, column: str) -> Column:
+    """The exact median of a column as a literal (null without values)."""
+    return F.lit(exact_quantiles(df, [column], [0.5])[column][0]).cast("double")

@@ -14,6 +14,7 @@ from lotwise.contracts import (DEEP_ENGAGEMENT_EVENTS, SQL_POSITION_PROPENSITY,
                                SQL_POSITION_PROPENSITY_DEFAULT)
 from lotwise.functions import dround, flag, months_between_boundaries, safe_div, seconds_between
 from lotwise.operators.ranks import with_ntile
+from lotwise.operators.selection import join_quantiles
 from lotwise.plans.marts import session_event_rollup
 
 ATTRIBUTION_WINDOW_DAYS = 30
@@ -242,8 +243,9 @@ def demand_supply_gap(events: DataFrame, cars: DataFrame, limit: int = 100,
                    F.count_distinct("user_id").alias("unique_users")))
     supply = (cars.filter(~F.col("sold_flag"))
               .groupBy("city", "body_type", "transmission")
-              .agg(F.count(F.lit(1)).alias("available_cars"),
-                   F.median("listed_price").alias("median_price")))
+              .agg(F.count(F.lit(1)).alias("available_cars")))
+    supply = join_quantiles(supply, cars.filter(~F.col("sold_flag")), ["city", "body_type", "transmission"],
+                            "listed_price", {"median_price": 0.5})
     d, s = demand.alias("d"), supply.alias("s")
     cond = ((F.col("d.city") == F.col("s.city")) & (F.col("d.body_type") == F.col("s.body_type"))
             & ((F.col("d.transmission") == "Any") | (F.col("s.transmission") == F.col("d.transmission"))))
@@ -340,12 +342,14 @@ def aging_bucket(days: F.Column) -> F.Column:
 
 def inventory_aging(cars: DataFrame) -> DataFrame:
     """Age buckets x city x body: count, median age, sell-through, median price."""
-    g = cars.groupBy(aging_bucket(F.col("days_in_inventory")).alias("aging_bucket"),
-                     "city", "body_type").agg(
+    by = ["aging_bucket", "city", "body_type"]
+    cars = cars.withColumn("aging_bucket", aging_bucket(F.col("days_in_inventory")))
+    # A median's state is one entry per distinct value: few for days, unbounded for prices.
+    g = cars.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_cars"),
         F.median("days_in_inventory").alias("median_days"),
-        F.avg(flag(F.col("sold_flag"))).alias("sell_through"),
-        F.median("listed_price").alias("median_price"))
+        F.avg(flag(F.col("sold_flag"))).alias("sell_through"))
+    g = join_quantiles(g, cars, by, "listed_price", {"median_price": 0.5})
     return g.select("aging_bucket", "city", "body_type",
                     F.col("n_cars").cast("long").alias("n_cars"),
                     dround("median_days", 1).alias("median_days_in_inventory"),
@@ -397,13 +401,14 @@ def position_bias(impressions: DataFrame) -> DataFrame:
 # -------------------------------------------------------------------------- K14
 def price_analysis(cars: DataFrame, min_listings: int = 3, limit: int = 200) -> DataFrame:
     """Listed vs realised price and discount by make x model x body x city."""
-    g = cars.groupBy("make", "model", "body_type", "city").agg(
+    by = ["make", "model", "body_type", "city"]
+    g = cars.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_listings"),
-        F.median("listed_price").alias("ml"),
-        F.median("transaction_price").alias("mt"),
         F.avg(F.try_divide(F.col("listed_price") - F.col("transaction_price"), F.col("listed_price")))
         .alias("disc"),
         F.avg(flag(F.col("sold_flag"))).alias("st"))
+    for name, price in (("ml", "listed_price"), ("mt", "transaction_price")):
+        g = join_quantiles(g, cars, by, price, {name: 0.5})
     out = g.filter(F.col("n_listings") >= min_listings).select(
         "make", "model", "body_type", "city", F.col("n_listings").cast("long").alias("n_listings"),
         dround("ml", 0).alias("median_listed_price"),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lotwise.contracts import SPLITS
 from lotwise.operators.ranks import global_prefix_sum, global_row_number, with_decile_by_rank
+from lotwise.operators.selection import column_median, join_quantiles
 
 
 # ---------------------------------------------------------------------------- S1
@@ -31,17 +32,20 @@ def regression_metrics(df: DataFrame, y: str = "y", p: str = "p", by: list[str]
     and population std.  ``by`` gives error slices (S17)."""
     yc, pc = F.col(y).cast("double"), F.col(p).cast("double")
     resid = yc - pc
-    g = df.groupBy(*(by or []))
-    agg = g.agg(F.avg(F.abs(resid)).alias("mae"),
+    agg = df.groupBy(*(by or [])).agg(F.avg(F.abs(resid)).alias("mae"),
                 F.sqrt(F.avg(resid * resid)).alias("rmse"),
                 F.sum(resid * resid).alias("__ss_res"),
                 F.var_pop(yc).alias("__var_y"), F.count(F.lit(1)).alias("n"),
-                F.median(F.abs(resid)).alias("median_ae"),
                 F.avg(F.abs(resid) / F.greatest(F.abs(yc), F.lit(1e4))).alias("mape"),
                 F.avg(2 * F.abs(resid) / (F.abs(yc) + F.abs(pc) + F.lit(1e-9))).alias("smape"),
                 F.avg(resid).alias("residual_mean"),
                 F.stddev_pop(resid).alias("residual_std"))
     r2 = F.lit(1.0) - F.col("__ss_res") / (F.col("__var_y") * F.col("n"))
+    errors = df.select(*(by or []), F.abs(resid).alias("__error"))
+    if by:
+        agg = join_quantiles(agg, errors, by, "__error", {"median_ae": 0.5})
+    else:
+        agg = agg.withColumn("median_ae", column_median(errors, "__error"))
     return agg.withColumn("r2", r2).drop("__ss_res", "__var_y")
 
 

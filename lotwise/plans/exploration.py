@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lotwise.functions import clip_lower
 from lotwise.operators.pit import attach_market_context
+from lotwise.operators.selection import column_median, group_quantiles
 
 
 # --------------------------------------------------------------------------- D20
@@ -99,14 +100,13 @@ def price_features_as_of_latest(candidates: DataFrame, cars: DataFrame, events:
     time: age and km/year at that year, entry month, make+model median
     popularity (global median fallback) and market context."""
     as_of = events.agg(F.max("event_timestamp").alias("observation_date"))
-    mm = cars.groupBy("make", "model").agg(F.median("model_popularity").alias("__mm"))
-    glob = cars.agg(F.median("model_popularity").alias("__g"))
-    c = (candidates.crossJoin(F.broadcast(as_of)).crossJoin(F.broadcast(glob))
+    mm = group_quantiles(cars, ["make", "model"], "model_popularity", {"__mm": 0.5})
+    c = (candidates.crossJoin(F.broadcast(as_of))
          .join(mm, ["make", "model"], "left")
          .withColumn("registration_year", F.coalesce("registration_year", "manufacturing_year"))
          .withColumn("vehicle_age", clip_lower(F.year("observation_date") - F.col("manufacturing_year"), 0).cast("int"))
          .withColumn("kilometres_per_year", F.col("kilometres_driven") / F.greatest(F.col("vehicle_age"), F.lit(1)))
          .withColumn("inventory_entry_month", F.month("observation_date"))
-         .withColumn("model_popularity", F.coalesce("__mm", "__g"))
-         .drop("__mm", "__g"))
+         .withColumn("model_popularity", F.coalesce("__mm", column_median(cars, "model_popularity")))
+         .drop("__mm"))
     return attach_market_context(c, cars, events, "observation_date")
