@@ -277,25 +277,29 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         docs = placed(docs, row_col)
     slim = docs.select(F.col(row_col).alias("row_id"), F.col(id_col).alias("doc_id"),
                        F.col(text_col).alias("text"))
-    profiles = _profiles(slim, shingle_words).checkpoint()
+    # The number is stored with the row, so it stays the same whatever reads it.
+    profiles = (_profiles(slim, shingle_words).withColumn("number", F.monotonically_increasing_id())
+                .checkpoint())
 
-    # Equal sets: a class is known by its first row, and by a number once that is stored.
+    # Equal sets: a class is known by the number of its first row.
     classes = (profiles.where("set_key is not null").groupBy("set_key")
-               .agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row_id"))
+               .agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "number"))
                     .alias("first"))
-               .withColumn("node", F.monotonically_increasing_id()).checkpoint())
-    firsts = classes.select("node", F.col("first.row_id").alias("row_id"))
-    nodes = profiles.join(firsts, "row_id").select("node", "bands", "sketch")
+               .select("set_key", "first", F.col("first.number").alias("node")).checkpoint())
+    nodes = (profiles.select(F.col("number").alias("node"), "bands", "sketch", "row_id")
+             .join(classes.select("node"), "node"))
 
-    banded = nodes.select("node", F.explode("bands").alias("band"))
+    # The narrow rows are shuffled once, for the aggregate and for the join.
+    banded = nodes.select("node", F.explode("bands").alias("band")).repartition("band")
     hubs = (banded.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
-            .where("hub != last").select("band", "hub").checkpoint())
+            .where("hub != last").select("band", "hub"))
     members = banded.join(hubs, "band").checkpoint()
     wanted = members.select("node").distinct().checkpoint()
     if filter_bits is None:
         filter_bits = bits_for(wanted.count())
-    full = (nodes.join(_full_sets(wanted.join(firsts, "node"), slim, shingle_words, filter_bits), "node")
-            .checkpoint())
+    known = nodes.join(wanted, "node").checkpoint()
+    full = (known.drop("row_id").join(
+        _full_sets(known.select("node", "row_id"), slim, shingle_words, filter_bits), "node").checkpoint())
 
     sketches = full.select("node", "sketch")
     of_hub = sketches.select(F.col("node").alias("hub"), F.col("sketch").alias("hub_sketch"))
@@ -326,11 +330,11 @@ def _grouped(profiles: DataFrame, classes: DataFrame, labels: DataFrame) -> Data
     first = labelled.groupBy("label").agg(F.min("first").alias("best"))
     of_set = (labelled.join(first, "label")
               .select("set_key", F.col("best.doc_id").alias("component_id"),
-                      F.col("best.row_id").alias("best_row")).checkpoint())
-    slim = profiles.select("row_id", "doc_id", "n_shingles", "set_key")
+                      F.col("best.number").alias("best_row")).checkpoint())
+    slim = profiles.select("row_id", "number", "doc_id", "n_shingles", "set_key")
     linked = (slim.where("set_key is not null").join(of_set, "set_key")
               .select("row_id", "doc_id", "n_shingles", "component_id",
-                      (F.col("row_id") == F.col("best_row")).alias("kept")))
+                      (F.col("number") == F.col("best_row")).alias("kept")))
     alone = slim.where("set_key is null").select(
         "row_id", "doc_id", "n_shingles", F.col("doc_id").alias("component_id"),
         F.lit(True).alias("kept"))
