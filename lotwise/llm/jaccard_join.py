@@ -57,7 +57,7 @@ SPARE = 3
 #: Size classes of heavy sets grow by this factor.
 CLASS_GROWTH = 1.4
 #: Elements of a part of a large set, about.
-PART = 256
+PART = 1024
 #: The largest boundary; beyond, the subsets of one set are too many.
 LARGEST_BOUNDARY = 20
 #: Elements (slices or shingles) of the sets of a block.
@@ -343,8 +343,9 @@ def _heavy_edges(heavy: DataFrame, plan: Plan) -> DataFrame:
     keys = F.filter(F.concat("g.hashes", "g.least"), lambda h: h != 0)
     # The narrow rows are shuffled once, for the aggregate and for the join.
     entries = grids.select("node", "at", F.explode(keys).alias("key")).repartition("key")
-    shared = (entries.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"))
-              .where("first != last").select("key"))
+    shared = (entries.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"),
+                                         F.max("at").alias("at"))     # the join's columns: one exchange serves both
+              .where("first != last and at >= 0").select("key"))
     slim = grids.select("node", "at", "g.tag", "g.size", "g.hashes", "g.sizes")
     rows = (entries.join(shared, "key").join(slim, ["node", "at"]).drop("at")
             .withColumn("slices", F.size("hashes")))
