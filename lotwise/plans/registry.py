@@ -387,12 +387,27 @@ def _r10(spark, d):
                                  tiebreak=["list_position", "relevance"])
 
 
+def _drift_inputs(m):
+    """Data sets of the drift report that need no fitted model, and the order that splits them."""
+    booking = O.build_booking_dataset(m.impressions, m.sessions, m.users, m.cars, m.events)
+    datasets = {"price": (O.build_price_dataset(m.cars, m.events), O.PRICE_FEATURES),
+                "booking": (booking, O.BOOKING_FEATURES),
+                "sellthrough": (O.build_sellthrough_dataset(m.cars, m.events), O.SELL_FEATURES)}
+    order = {"price": ["observation_date", "car_id"],
+             "booking": ["observation_date", "session_id", "car_id", "list_position"],
+             "sellthrough": ["observation_date", "car_id", "snapshot_age"]}
+    return datasets, order
+
+
 @register("T6_drift_report_sellthrough")
 def _t6(spark, d):
-    m = _mp(spark, d)
-    ds = O.build_sellthrough_dataset(m.cars, m.events)
-    return T.drift_report({"sellthrough": (ds, O.SELL_FEATURES)}, order={"sellthrough": ["observation_date", "car_id",
-                                                                                        "snapshot_age"]})
+    datasets, order = _drift_inputs(_mp(spark, d))
+    return T.drift_report({"sellthrough": datasets["sellthrough"]}, order)
+
+
+@register("T6_drift_report")
+def _t6_all(spark, d):
+    return T.drift_report(*_drift_inputs(_mp(spark, d)))
 
 
 # ------------------------------------------------------ intent and recommendations (P, Q)
@@ -525,11 +540,10 @@ def _t7(spark, d):
 
 @register("T8_monitoring_status")
 def _t8(spark, d):
-    m = _mp(spark, d)
-    ds = O.build_sellthrough_dataset(m.cars, m.events)
-    drift = T.drift_report({"sellthrough": (ds, O.SELL_FEATURES)},
-                           order={"sellthrough": ["observation_date", "car_id", "snapshot_age"]})
-    return T.monitoring_status(T.quality_gates(_all_metrics(spark, d)), drift)
+    datasets, order = _drift_inputs(_mp(spark, d))
+    datasets["ranking"] = (_ranking_dataset(spark, d), R.RANK_FEATURES)
+    order["ranking"] = ["observation_date", "session_id", "car_id", "list_position"]
+    return T.monitoring_status(T.quality_gates(_all_metrics(spark, d)), T.drift_report(datasets, order))
 
 
 # ------------------------------------------------------ exploration
