@@ -53,11 +53,11 @@ from lotwise.session import checkpoint_dir
 
 SHINGLE_WORDS, PERCENT = 5, 80
 #: Slices beyond those that a link may differ in.
-SPARE = 3
+SPARE = 5
 #: Size classes of heavy sets grow by this factor.
 CLASS_GROWTH = 1.4
 #: Elements of a part of a large set, about.
-PART = 1024
+PART = 4096
 #: The largest boundary; beyond, the subsets of one set are too many.
 LARGEST_BOUNDARY = 20
 #: Elements (slices or shingles) of the sets of a block.
@@ -143,7 +143,8 @@ class Plan:
         return min(range(LARGEST_BOUNDARY + 1), key=cost)
 
     def parts(self, own: np.ndarray):
-        """``(number of the part's list space, part, its hashes within the range as 32 bits)``."""
+        """``(number of the part's list space, part, its hashes within the range as 32 bits, size classes of the
+        part)``.  A set in one part has its own class; a smaller part, like a set, those that a partner may have."""
         for number in self.classes(len(own)):
             ranges = max(1, (self.low(number + 1) - 1) // PART)
             scaled = (own >> np.uint64(32)) * np.uint64(ranges)
@@ -151,13 +152,15 @@ class Plan:
             for r in range(ranges):
                 first, last = edges[r:r + 2].tolist()
                 if first < last:
-                    yield (number << 40) + r, own[first:last], scaled[first:last] & np.uint64(0xFFFFFFFF)
+                    part = own[first:last]
+                    classes = [number] if ranges == 1 else self.classes(len(part))
+                    yield (number << 40) + r, part, scaled[first:last] & np.uint64(0xFFFFFFFF), classes
 
     def grids(self, own: np.ndarray):
         """``(tag, size, hashes of the slices (0: empty), their sizes, keys of least shingles)`` of each part in
         each of its size classes.  Grids can be compared if their tags are equal."""
-        for space, part, place in self.parts(own):
-            for number in self.classes(len(part)):
+        for space, part, place, classes in self.parts(own):
+            for number in classes:
                 m = self.slices(number)
                 at = (place * np.uint64(m) >> np.uint64(32)).astype(np.int64)
                 start = np.flatnonzero(np.diff(at, prepend=-1))
@@ -342,7 +345,8 @@ def _heavy_edges(heavy: DataFrame, plan: Plan) -> DataFrame:
     grids = heavy.select("node", F.posexplode("grids").alias("at", "g"))
     keys = F.filter(F.concat("g.hashes", "g.least"), lambda h: h != 0)
     # The narrow rows are shuffled once, for the aggregate and for the join.
-    entries = grids.select("node", "at", F.explode(keys).alias("key")).repartition("key")
+    entries = (grids.select("node", "at", F.explode(keys).alias("key")).where("key is not null")
+               .repartition("key"))
     shared = (entries.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"),
                                          F.max("at").alias("at"))     # the join's columns: one exchange serves both
               .where("first != last and at >= 0").select("key"))

@@ -290,7 +290,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              .join(classes.select("node"), "node"))
 
     # The narrow rows are shuffled once, for the aggregate and for the join.
-    banded = nodes.select("node", F.explode("bands").alias("band")).repartition("band")
+    banded = (nodes.select("node", F.explode("bands").alias("band")).where("band is not null")
+              .repartition("band"))
     hubs = (banded.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
             .where("hub != last").select("band", "hub"))
     members = banded.join(hubs, "band").checkpoint()

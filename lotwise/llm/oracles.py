@@ -99,3 +99,99 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
 FROM doc_words LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of the UTF-8 bytes of a SQL expression, bit by bit."""
+    code = f"list_transform(regexp_extract_all(hex({text}), '..'), lambda h: ('0x' || h)::UBIGINT)"
+    return f"""xor(list_reduce(list_prepend(4294967295::UBIGINT, {code}), lambda c, byte:
+      list_reduce([xor(c, byte), 0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[], lambda r, step:
+        CASE WHEN r % 2 = 1 THEN xor(r >> 1, 3988292384::UBIGINT) ELSE r >> 1 END)),
+    4294967295::UBIGINT)::BIGINT"""
+
+
+ORACLE["op4_sharding"] = f"""
+WITH sized AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, '')))::BIGINT + 8 AS size,
+         {_crc32("coalesce(text, '')")} AS text_crc32 FROM documents),
+placed AS (
+  SELECT *, row_number() OVER w AS nth, sum(size) OVER w - size AS bytes_before, sum(size) OVER () AS all_bytes
+  FROM sized WINDOW w AS (ORDER BY doc_id NULLS FIRST, text_crc32 ROWS UNBOUNDED PRECEDING)),
+cut AS (
+  SELECT *, least(23, (2 * bytes_before + size) * 24 // (2 * all_bytes))::INTEGER AS shard FROM placed)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY nth) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM cut
+"""
+
+
+def _least(*options: str) -> str:
+    return f"list_sort([{', '.join(options)}])[1]"
+
+
+def _edited(state: str, cost: str, letter: str, line: str | None) -> str:
+    """A state (cost, letters, lines) after an edit."""
+    lines = f"{state}.l" if line is None else f"list_append({state}.l, {line})"
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 'l': {lines}}}"
+
+
+def _unless(condition: str, option: str) -> str:
+    return f"CASE WHEN {condition} THEN {option} ELSE {{'c': 1000000000, 'a': '', 'l': []::VARCHAR[]}} END"
+
+
+def _row_options(state: str, initial: str, role: str) -> list[str]:
+    """Keep and Rerole of a row from a state that expects ``role``."""
+    return [_unless(f"NOT gone AND initial = '{initial}'", _edited(state, "cut", "K", "role || ':' || text")),
+            _unless("NOT gone", _edited(state, "2 + cut", "R", f"'{role}:' || text"))]
+
+
+# A forward dynamic programme, one row per recursion: states are the least (cost, letters) that lead there.
+ORACLE["op12_conversation_repair"] = f"""
+WITH RECURSIVE plain AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS fate
+  FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+         CASE fate WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM plain, range(CASE fate WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END) copies(n)),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS nth,
+         rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM damaged),
+told AS (
+  SELECT *, left(role, 1) AS initial, body = '' AS blank,
+         body != '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY nth) > 1 AS repeats
+  FROM ordered),
+faults AS (
+  SELECT *, blank OR repeats AS gone,
+         (NOT blank AND NOT repeats AND right(body, 1) NOT IN ('.', '!', '?'))::INTEGER AS cut,
+         coalesce(lag(initial) OVER (PARTITION BY conv_id ORDER BY nth) || initial NOT IN ('su', 'ua', 'au'), false)
+           AS illegal
+  FROM told),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         sum(blank::INTEGER) AS blank, sum(repeats::INTEGER) AS duplicate, sum(cut) AS truncated,
+         sum(illegal::INTEGER) AS illegal, max(nth) AS last FROM faults GROUP BY conv_id),
+edits AS (
+  SELECT conv_id, 0::BIGINT AS nth, {{'c': 0, 'a': '', 'l': []::VARCHAR[]}} AS s0,
+         {{'c': 1000000000, 'a': '', 'l': []::VARCHAR[]}} AS s1, {{'c': 2, 'a': 'I', 'l': ['user:']}} AS s2,
+         {{'c': 4, 'a': 'II', 'l': ['user:', 'assistant:']}} AS s3 FROM counted
+  UNION ALL
+  SELECT conv_id, nth, s0, s1, t2,
+         {_least("s3", _edited("t2", "2", "I", "'assistant:'"))} FROM (
+    SELECT conv_id, nth, s0, s1, s3, {_least("s2", *(_edited(s, "2", "I", "'user:'") for s in ("s0", "s1", "s3")))} AS t2
+    FROM (
+      SELECT e.conv_id, f.nth, {_edited("s0", "3", "D", None)} AS s0,
+             {_least(_edited("s1", "3", "D", None), _unless("NOT gone AND initial = 's'", _edited("s0", "cut", "K", "role || ':' || text")))} AS s1,
+             {_least(_edited("s2", "3", "D", None), *(o for s in ("s0", "s1", "s3") for o in _row_options(s, "u", "user")))} AS s2,
+             {_least(_edited("s3", "3", "D", None), *_row_options("s2", "a", "assistant"))} AS s3
+      FROM edits e JOIN faults f ON f.conv_id IS NOT DISTINCT FROM e.conv_id AND f.nth = e.nth + 1))),
+done AS (
+  SELECT c.*, {_least("s0", "s3")} AS best
+  FROM edits e JOIN counted c ON c.conv_id IS NOT DISTINCT FROM e.conv_id AND c.last = e.nth)
+SELECT k.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.c, 0)::BIGINT AS cost, coalesce(best.a, '') AS audit,
+       sha256(coalesce(array_to_string(best.l, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) k LEFT JOIN done d ON d.conv_id IS NOT DISTINCT FROM k.conv_id
+"""
