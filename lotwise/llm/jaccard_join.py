@@ -18,7 +18,7 @@ space).  Two sets link when their Jaccard similarity is at least ``percent`` / 1
    set of its own with lists of its own: of two similar sets, the parts in at least one range are as similar.
 4. The boundary is the one of least cost: keys written, by the numbers of classes of each size
    (a table of at most ``SMALL`` rows).
-5. Lists are scanned in blocks of bounded size.  A differing slice differs by at least one element, by two if the
+5. Of lists with the same members one is scanned, in blocks of bounded size.  A differing slice differs by at least one element, by two if the
    sizes are equal; pairs whose slices differ too much in sum are out.  The others leave the task
    as edges that join groups, fewer than it has rows.
 6. Groups of the remaining candidates get their full sets (a second scan, found by the sets' hashes).
@@ -350,8 +350,14 @@ def _heavy_edges(heavy: DataFrame, plan: Plan) -> DataFrame:
     shared = (entries.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"),
                                          F.max("at").alias("at"))     # the join's columns: one exchange serves both
               .where("first != last and at >= 0").select("key"))
+    members = entries.join(shared, "key").checkpoint()
+    # Near copies share many lists; of those with the same members (by two hashes of 64 bits) one is scanned.
+    alike = members.groupBy("key").agg(
+        F.count("*").alias("n"), F.min("node").alias("least"),
+        F.bit_xor(F.xxhash64("node", "at")).alias("x"), F.bit_xor(F.xxhash64("at", "node", F.lit(1))).alias("y"))
+    kept = alike.groupBy("n", "least", "x", "y").agg(F.min("key").alias("key")).select("key")
     slim = grids.select("node", "at", "g.tag", "g.size", "g.hashes", "g.sizes")
-    rows = (entries.join(shared, "key").join(slim, ["node", "at"]).drop("at")
+    rows = (members.join(kept, "key").join(slim, ["node", "at"]).drop("at")
             .withColumn("slices", F.size("hashes")))
     group = ["key", "tag"]
 
