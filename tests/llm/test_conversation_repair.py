@@ -219,3 +219,17 @@ def test_query_on_stored_tables(spark, scale):
     rows = [tuple(r) for r in spark.read.parquet(f"{folder}/conversations.parquet")
             .select("conv_id", "turn", "role", "text").collect()]
     assert plain(queries.op12_conversation_repair(spark, folder)) == by_contract(rows)
+
+
+def test_sql_equals_brute_force():
+    import duckdb
+
+    from lotwise.llm.oracles import ORACLE
+
+    rng = random.Random(7)
+    rows = [(i, *row) for i in [*range(120), None] for row in rows_of(rng, rng.randrange(1, 10))]
+    db = duckdb.connect()
+    db.sql("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    db.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    found = db.sql(ORACLE["op12_conversation_repair"]).fetchall()
+    assert {r[0]: r[1:] for r in found} == by_contract(rows)
