@@ -48,7 +48,7 @@ from pyspark.sql.types import ArrayType, LongType, StructType
 
 from lotwise.llm import shingles
 from lotwise.llm.components import components
-from lotwise.llm.rows import key_bitmap, may_contain
+from lotwise.llm.rows import filter_bits, key_bitmap, may_contain
 from lotwise.session import checkpoint_dir
 
 SHINGLE_WORDS, PERCENT = 5, 80
@@ -62,8 +62,6 @@ PART = 4096
 LARGEST_BOUNDARY = 20
 #: Elements (slices or shingles) of the sets of a block.
 BLOCK = 1 << 18
-#: Filter of the second scan: bits for each wanted class, and at most.
-FILTER_BITS_EACH, MAX_FILTER_BITS = 16, 1 << 26
 
 WORD = shingles.byte_class(lambda b: b != 0x20 and not 0x09 <= b <= 0x0D)
 _LONGS = pa.list_(pa.int64())
@@ -356,7 +354,11 @@ def _heavy_edges(heavy: DataFrame, plan: Plan) -> DataFrame:
         F.count("*").alias("n"), F.min("node").alias("least"),
         F.bit_xor(F.xxhash64("node", "at")).alias("x"), F.bit_xor(F.xxhash64("at", "node", F.lit(1))).alias("y"))
     kept = alike.groupBy("n", "least", "x", "y").agg(F.min("key").alias("key")).select("key")
-    slim = grids.select("node", "at", "g.tag", "g.size", "g.hashes", "g.sizes")
+    # Grids are large: those of sets in no list stay where they are.
+    nodes = members.select("node").distinct().checkpoint()
+    bits = filter_bits(nodes.count())
+    slim = (grids.where(may_contain(key_bitmap(nodes, ["node"], bits), [F.col("node")], bits))
+            .select("node", "at", "g.tag", "g.size", "g.hashes", "g.sizes"))
     rows = (members.join(kept, "key").join(slim, ["node", "at"]).drop("at")
             .withColumn("slices", F.size("hashes")))
     group = ["key", "tag"]
@@ -402,8 +404,7 @@ def _links_in(part: pa.Table, low: int, high: int, plan: Plan):
 
 def _full_sets(wanted: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     """``wanted`` (``set_key, doc_id, ...``) with ``shingles``, made from the texts again."""
-    bits = FILTER_BITS_EACH * max(4, wanted.count())
-    bits = min(MAX_FILTER_BITS, 1 << bits.bit_length())
+    bits = filter_bits(wanted.count())
     known = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     likely = docs.where(may_contain(key_bitmap(wanted.select(known.alias("id")), ["id"], bits), [known], bits))
 
