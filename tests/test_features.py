@@ -125,3 +125,35 @@ def test_market_context_matches_brute_force(spark, mp):
         exp_s = seg_live / city_live if city_live > 0 else 0.0
         assert abs(ctx[key].market_demand_index - exp_d) < 1e-12
         assert abs(ctx[key].local_supply_index - exp_s) < 1e-12
+
+
+def test_datasets_store_no_row_that_carries_all_joined_columns(spark, mp, monkeypatch):
+    from lotwise.plans import features as O
+    stored, checkpoint = [], type(mp.cars).checkpoint
+
+    def spy(df, *args, **kwargs):
+        stored.append(df.columns)
+        return checkpoint(df, *args, **kwargs)
+
+    sessions = mp.sessions
+    monkeypatch.setattr(type(mp.cars), "checkpoint", spy)
+    O.build_booking_dataset(mp.impressions, sessions, mp.users, mp.cars, mp.events)
+    assert max(map(len, stored)) <= 12 and not any("list_position" in c for c in stored)
+    stored.clear()
+    O.build_sellthrough_dataset(mp.cars, mp.events)
+    assert all(set(c) <= {*O.SELL_FEATURES, "car_id", "snapshot_date", "label_sold_30d"} for c in stored if len(c) > 12)
+
+
+def test_sessions_and_users_that_come_twice_multiply_their_rows(spark, mp):
+    from lotwise.plans import features as O
+    imp = mp.impressions.limit(40)
+    key = imp.orderBy("session_id").first()
+    session = spark.createDataFrame(
+        [(key.session_id, key.user_id, "a"), (key.session_id, key.user_id, "b")], "session_id string, user_id string, "
+        "device_category string")
+    sessions = session.join(mp.sessions.limit(1).drop("session_id", "user_id", "device_category"))
+    odd = imp.unionByName(imp.limit(1).withColumn("session_id", F.lit(None).cast("string")))
+    out = O.build_booking_dataset(odd, sessions, mp.users, mp.cars, mp.events)
+    of_key = imp.where((F.col("session_id") == key.session_id) & (F.col("user_id") == key.user_id)).count()
+    assert out.count() == 41 + of_key
+    assert out.where("session_id is null").count() == 1
