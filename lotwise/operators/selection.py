@@ -35,10 +35,16 @@ class _Search:
     high: float
 
 
-def _bucket(value: Column, low: float, high: float) -> Column:
-    """Which part of the range; null outside.  Halves keep the width finite."""
+def _entry(value: Column, ranges: list[tuple[int, float, float]]) -> Column:
+    """The range that holds ``value`` (null: none does), which part of it, and the value.  ``ranges`` are those of
+    one column as ``(number, low, high)`` by ``low``; they don't overlap, so a row has one entry for a column,
+    however many ranks are wanted.  Halves keep the width finite."""
+    below = sum((F.when(value >= low, 1).otherwise(0) for _, low, _ in ranges), F.lit(0)) - 1
+    number, low, high = (F.get(F.array(*[F.lit(r[i]) for r in ranges]), below) for i in range(3))
     place = (value / 2 - low / 2) / (high / 2 - low / 2) * BUCKETS
-    return F.when(value.between(low, high), F.least(F.floor(place).cast("int"), F.lit(BUCKETS - 1)))
+    bucket = F.least(F.floor(place).cast("int"), F.lit(BUCKETS - 1))
+    return F.struct(F.when(value <= high, number).alias("range"), F.when(value <= high, bucket).alias("bucket"),
+                    value.alias("value"))
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], quantiles: list[float]) -> dict[str, list]:
@@ -60,9 +66,11 @@ def exact_quantiles(df: DataFrame, columns: list[str], quantiles: list[float]) -
         ranges = sorted({(s.column, s.low, s.high) for s in searches.values()})
         if not ranges:
             break
-        entries = F.array(*[F.struct(F.lit(k).alias("range"), _bucket(F.col(f"v{c}"), low, high).alias("bucket"),
-                                     F.col(f"v{c}").alias("value")) for k, (c, low, high) in enumerate(ranges)])
-        counted = (values.select(F.explode(entries).alias("e")).select("e.*").where("bucket is not null")
+        of_column: dict[int, list] = {}
+        for k, (c, low, high) in enumerate(ranges):
+            of_column.setdefault(c, []).append((k, low, high))
+        entries = F.array(*[_entry(F.col(f"v{c}"), of) for c, of in of_column.items()])
+        counted = (values.select(F.explode(entries).alias("e")).select("e.*").where("range is not null")
                    .groupBy("range", "bucket")
                    .agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")).collect())
         parts: dict[tuple, list] = {r: [] for r in ranges}

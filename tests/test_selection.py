@@ -39,3 +39,12 @@ def test_groups_equal_percentile(spark):
         assert set(out) == set(expected)
         for key, values in expected.items():
             assert out[key] == (values if values[0] is None else pytest.approx(values, rel=1e-12))
+
+
+def test_a_row_has_one_entry_per_column_however_many_ranks_are_wanted(spark):
+    from lotwise.operators import selection as Q
+    ranges = [(4, 0.0, 1.0), (5, 2.0, 3.0), (6, 10.0, 20.0)]
+    rows = spark.createDataFrame([(-1.0,), (0.5,), (1.5,), (3.0,), (20.0,), (21.0,), (None,)], "v double")
+    found = [tuple(r["e"])[:2] for r in rows.select(Q._entry(F.col("v"), ranges).alias("e")).collect()]
+    assert [r for r, _ in found] == [None, 4, None, 5, 6, None, None]
+    assert [b for r, b in found if r is not None] == [512, 1023, 1023]
