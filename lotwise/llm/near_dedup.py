@@ -14,8 +14,8 @@ ASCII white space).  Documents whose sets have a Jaccard similarity of at least
    one hub only: among the least classes of its bands the one whose sketch is closest.
    It links large groups with one pair for each member.
 4. Pairs within a band that are still in different components are all compared where they
-   meet, in blocks of bounded size: by sketch first, on the full sets if the sketches leave a
-   chance, each pair in the first band that it shares.  Only links that join components of
+   meet, in blocks of bounded size, each pair in the first band that it shares: by sketch first; the
+   rows that the sketches leave a chance get their full sets and meet again.  Only links that join components of
    the block leave the task, fewer than it has rows, so a group of thousands of
    documents just below the threshold makes no table of pairs.
 5. Full sets come from a second scan, for classes that share a band hash with another one
@@ -188,19 +188,20 @@ def _verify(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
 
 
-def _links_in_block(part: pa.Table, low: int, high: int, band: int, percent: int) -> list:
-    """Links between the two blocks of a band that join components; see the module's text."""
-    own, node = part["own"].to_numpy(), part["node"].to_numpy()
+def _columns(part: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``own, label, sketch, bands`` of a block's rows."""
     label = np.unique(part["label"].to_numpy(), return_inverse=True)[1]
     # Unsigned: of a negative number, numpy would count the bits of its absolute value.
     sketch = np.array(part["sketch"].to_pylist(), np.int64).view(np.uint64)
-    bands = np.array(part["bands"].to_pylist(), np.int64)
-    full = [np.frombuffer(v.as_buffer(), np.uint64) for c in part["shingles"].chunks for v in c]
-    sizes = np.fromiter(map(len, full), np.int64, len(full))
-    ends = np.cumsum(sizes)
-    _, number = np.unique(np.concatenate(full), return_inverse=True)
-    marked = np.zeros(int(number.max()) + 1, np.int64)
-    closest, links = max_count(), []
+    return part["own"].to_numpy(), label, sketch, np.array(part["bands"].to_pylist(), np.int64)
+
+
+def _near_pairs(columns: tuple, sizes: np.ndarray, key: tuple, percent: int):
+    """``i, rows``: the rows of other components that sizes and sketches leave a chance with row ``i``.
+    ``label`` is read anew for each ``i``."""
+    own, label, sketch, bands = columns
+    band, low, high = key
+    closest = max_count()
     for i in np.flatnonzero(own == low).tolist():
         near = (own == high) & (label != label[i])
         if low == high:
@@ -211,8 +212,30 @@ def _links_in_block(part: pa.Table, low: int, high: int, band: int, percent: int
         if len(near):  # each pair is looked at in the first band that it shares
             same = bands[near] == bands[i]
             near = near[bands[near, same.argmax(axis=1)] == band]
-        if not len(near):
-            continue
+        if len(near):
+            yield i, near
+
+
+def _near_in_block(part: pa.Table, key: tuple, percent: int) -> pa.RecordBatch:
+    """The rows of a block that have such a pair there."""
+    wanted = np.zeros(part.num_rows, bool)
+    for i, near in _near_pairs(_columns(part), part["size"].to_numpy(), key, percent):
+        wanted[i] = wanted[near] = True
+    kept = part.select(["band", "low", "high", "own", "node", "label"]).filter(pa.array(wanted))
+    return pa.RecordBatch.from_arrays([c.combine_chunks() for c in kept.columns], names=kept.column_names)
+
+
+def _links_in_block(part: pa.Table, key: tuple, percent: int) -> pa.RecordBatch:
+    """Links between the two blocks of a band that join components; see the module's text."""
+    columns, node = _columns(part), part["node"].to_numpy()
+    label = columns[1]
+    full = [np.frombuffer(v.as_buffer(), np.uint64) for c in part["shingles"].chunks for v in c]
+    sizes = np.fromiter(map(len, full), np.int64, len(full))
+    ends = np.cumsum(sizes)
+    _, number = np.unique(np.concatenate(full), return_inverse=True)
+    marked = np.zeros(int(number.max()) + 1, np.int64)
+    links = []
+    for i, near in _near_pairs(columns, sizes, key, percent):
         mine = number[ends[i] - sizes[i]:ends[i]]
         marked[mine] = 1
         for j in near.tolist():
@@ -222,30 +245,13 @@ def _links_in_block(part: pa.Table, low: int, high: int, band: int, percent: int
                     links.append((node[i], node[j]))
                     label[label == label[j]] = label[i]
         marked[mine] = 0
-    return links
-
+    a, b = (pa.array([x[i] for x in links], pa.int64()) for i in (0, 1))
+    return pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
 
-def _links_across(members: DataFrame, percent: int) -> DataFrame:
-    """Links ``a, b`` between nodes of a band that are in different components.
-
-    ``members``: ``band, node, label, sketch, bands, shingles``, of bands with several
-    labels.  A band of n nodes is cut into blocks by a hash of the node; each pair of blocks
-    is a group."""
-    sizes = members.groupBy("band").agg(F.count("*").alias("n"))
-    cut = (members.join(sizes, "band")
-           .withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-           .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-           .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-           .select("band", F.least("own", "other").alias("low"),
-                   F.greatest("own", "other").alias("high"), "own", "node", "label", "sketch",
-                   "bands", "shingles"))
-
-    def close(key, parts):
-        links = _links_in_block(pa.Table.from_batches(parts), key[1], key[2], key[0], percent)
-        a, b = (pa.array([x[i] for x in links], pa.int64()) for i in (0, 1))
-        return pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
 
-    def compare(batches):
+def _by_block(rows: DataFrame, look, percent: int, schema: str) -> DataFrame:
+    """``look(part, (band, low, high), percent)`` of each pair of blocks."""
+    def run(batches):
         # Rows come sorted by group; a group may go over several batches.
         key, held = None, []
         for batch in batches:
@@ -254,15 +260,35 @@ def _links_across(members: DataFrame, percent: int) -> DataFrame:
                      len(groups)]
             for first, last in zip(edges, edges[1:]):
                 if groups[first] != key and held:
-                    yield close(key, held)
+                    yield look(pa.Table.from_batches(held), key, percent)
                     held = []
                 key = groups[first]
                 held.append(batch.slice(first, last - first))
         if held:
-            yield close(key, held)
+            yield look(pa.Table.from_batches(held), key, percent)
 
-    dealt = cut.repartition("band", "low", "high").sortWithinPartitions("band", "low", "high")
-    return dealt.mapInArrow(compare, "a long, b long")
+    dealt = rows.repartition("band", "low", "high").sortWithinPartitions("band", "low", "high")
+    return dealt.mapInArrow(run, schema)
+
+
+def _links_across(members: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` between nodes of a band that are in different components.
+
+    ``members``: ``band, node, label``, of bands with several labels; ``full``: ``node, sketch,
+    bands, shingles``.  A band of n nodes is cut into blocks by a hash of the node; each pair of
+    blocks is a group.  Sketches go to all groups of a node, its full set only to those where a
+    pair is left."""
+    sizes = members.groupBy("band").agg(F.count("*").alias("n"))
+    cut = (members.join(sizes, "band")
+           .withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+           .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+           .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+           .select("band", F.least("own", "other").cast("int").alias("low"),
+                   F.greatest("own", "other").cast("int").alias("high"), "own", "node", "label"))
+    slim = full.select("node", "sketch", "bands", (F.octet_length("shingles") / 8).cast("long").alias("size"))
+    near = _by_block(cut.join(slim, "node"), _near_in_block, percent,
+                     "band long, low int, high int, own int, node long, label long")
+    return _by_block(near.join(full, "node"), _links_in_block, percent, "a long, b long")
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -318,8 +344,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     labelled = members.select("band", "node").join(labels, "node")
     mixed = (labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"))
              .where("low != high").select("band"))
-    rest = labelled.join(mixed, "band").join(full, "node")
-    links = links.union(_links_across(rest, percent)).checkpoint()
+    rest = labelled.join(mixed, "band")
+    links = links.union(_links_across(rest, full, percent)).checkpoint()
 
     return _grouped(profiles, classes, components(links))
 

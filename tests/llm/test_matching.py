@@ -147,6 +147,27 @@ def test_near_dedup_group_around_the_threshold(spark, store, words):
     assert {r.doc_id: r.component_id for r in got} == want
 
 
+def test_near_dedup_sends_full_sets_of_close_rows_only(spark):
+    """Of a band's rows in different components, those that no sketch leaves a chance go no further."""
+    rng = np.random.default_rng(3)
+    own = [np.sort(rng.integers(1, 1 << 63, 60).astype(np.uint64)) for _ in range(40)]
+    own.append(np.sort(np.concatenate([own[0][2:], rng.integers(1, 1 << 63, 2).astype(np.uint64)])))
+    samples = near_dedup.signatures(own)
+    sketches = near_dedup.odd_sketches(samples).view(np.int64).tolist()
+    bands = [[7] + [100 * n + i for i in range(1, near_dedup.BANDS)] for n in range(len(own))]
+    full = spark.createDataFrame(
+        [(n, k, b, bytearray(o.tobytes())) for n, (k, b, o) in enumerate(zip(sketches, bands, own))],
+        "node long, sketch array<long>, bands array<long>, shingles binary")
+    members = full.selectExpr("7L AS band", "node", "node AS label")
+    slim = members.join(full.selectExpr("node", "sketch", "bands", "60L AS size"), "node").selectExpr(
+        "band", "0 AS low", "0 AS high", "0 AS own", "node", "label", "sketch", "bands", "size")
+    near = near_dedup._by_block(slim, near_dedup._near_in_block, 80,
+                                "band long, low int, high int, own int, node long, label long")
+    assert {r["node"] for r in near.collect()} == {0, 40}
+    links = near_dedup._links_across(members, full, 80).collect()
+    assert [{r["a"], r["b"]} for r in links] == [{0, 40}]
+
+
 def test_near_dedup_null_and_repeated_ids(spark, store, words):
     text = words(9, 40)
     rows = [(None, text), (None, text + " end"), (7, text), (7, text), (5, text), (None, words(8, 9))]
