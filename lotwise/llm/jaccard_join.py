@@ -3,7 +3,8 @@
 A document's set holds its distinct shingles of ``size`` words (A-Z lower-cased, split at ASCII white
 space).  Two sets link when their Jaccard similarity is at least ``percent`` / 100.  No link is lost.
 
-1. One scan hashes the sets.  Equal sets are one class from here on; it has a number in a stored table.
+1. One scan hashes the sets.  Equal sets are one class from here on; its number is the place of its first row, so a
+   scan of the texts knows it.
 2. *Light* sets, up to a boundary size, enumerate their subsets of each fixed size c that an intersection can
    have, c >= percent / 100 * size.  Two sets that share a subset of c link if their sizes allow it, so
    the list of a subset needs no look at its sets.  Sets above the boundary that can link with a
@@ -16,12 +17,14 @@ space).  Two sets link when their Jaccard similarity is at least ``percent`` / 1
    empty slices also goes to lists of its least shingles, as many as a link can't do without
    (only pairs of such sets need them).  Large sets are first cut into wide ranges of the hash, each a
    set of its own with lists of its own: of two similar sets, the parts in at least one range are as similar.
+   Slices are as large as the texts and aren't stored: a scan makes the narrow entries of the lists, another one
+   the slices of the sets that share a list.
 4. The boundary is the one of least cost: keys written, by the numbers of classes of each size
    (a table of at most ``SMALL`` rows).
 5. Of lists with the same members one is scanned, in blocks of bounded size.  A differing slice differs by at least one element, by two if the
    sizes are equal; pairs whose slices differ too much in sum are out.  The others leave the task
    as edges that join groups, fewer than it has rows.
-6. Groups of the remaining candidates get their full sets (a second scan, found by the sets' hashes).
+6. Groups of the remaining candidates get their full sets (the last scan of the texts).
    Within a group, again in blocks, an inverted index of shingles is scanned for each set, which gives exact
    intersections with all others.  Links are counted for each set; those that join components leave the task.
 
@@ -37,18 +40,18 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from hashlib import blake2b
-from itertools import combinations
+from itertools import combinations, count
 from math import comb
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType, LongType, StructType
 
 from lotwise.llm import shingles
 from lotwise.llm.components import components
-from lotwise.llm.rows import filter_bits, key_bitmap, may_contain
+from lotwise.llm.rows import filter_bits, key_bitmap, may_contain, placed
 from lotwise.session import checkpoint_dir
 
 SHINGLE_WORDS, PERCENT = 5, 80
@@ -185,8 +188,9 @@ def _subset_keys(own: np.ndarray, plan: Plan, boundary: int):
             yield key, c
 
 
-_ENTRY = (StructType().add("tag", "long").add("size", "long").add("hashes", ArrayType(LongType()))
-          .add("sizes", "binary").add("least", ArrayType(LongType())))
+_KEY = StructType().add("at", IntegerType()).add("key", "long")
+_ENTRY = (StructType().add("tag", "long").add("size", "long").add("hashes", ArrayType(IntegerType()))
+          .add("sizes", "binary"))
 #: Sizes of slices are written as bytes; this one means "so many or more".
 MOST = 255
 
@@ -197,38 +201,88 @@ def _lists(values: list[np.ndarray], kind) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 
+def _structs(lengths, arrays: list, of: StructType) -> pa.ListArray:
+    offsets = np.cumsum([0, *lengths]).astype(np.int32)
+    return pa.ListArray.from_arrays(
+        pa.array(offsets), pa.StructArray.from_arrays(arrays, names=of.fieldNames()))
+
+
+def _key_array(of_sets: list[list[tuple]]) -> pa.ListArray:
+    """Numbers of a set's grids and the keys of the lists that each goes to."""
+    places, keys, lengths = [np.zeros(0, np.int32)], [np.zeros(0, np.uint64)], []
+    for grids in of_sets:
+        lengths.append(0)
+        for at, (_, _, hashes, _, least) in enumerate(grids):
+            own = np.concatenate([hashes[hashes != 0], least[least != 0]])
+            places.append(np.full(len(own), at, np.int32))
+            keys.append(own)
+            lengths[-1] += len(own)
+    return _structs(lengths, [pa.array(np.concatenate(places)), pa.array(np.concatenate(keys).view(np.int64))], _KEY)
+
+
 def _grid_array(of_sets: list[list[tuple]]) -> pa.ListArray:
     entries = [entry for grids in of_sets for entry in grids]
-    tag, size, hashes, sizes, least = ([e[i] for e in entries] for i in range(5))
+    tag, size, hashes, sizes = ([e[i] for e in entries] for i in range(4))
+    # Half of a hash will do: slices that are alike by chance make a pair a candidate.
+    halves = [(h & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32) for h in hashes]
     arrays = [pa.array(np.array(tag, np.uint64).view(np.int64)), pa.array(size, pa.int64()),
-              _lists([h.view(np.int64) for h in hashes], np.int64),
-              pa.array([s.tobytes() for s in sizes], pa.binary()),
-              _lists([h.view(np.int64) for h in least], np.int64)]
-    offsets = np.cumsum([0, *map(len, of_sets)]).astype(np.int32)
-    return pa.ListArray.from_arrays(
-        pa.array(offsets), pa.StructArray.from_arrays(arrays, names=_ENTRY.fieldNames()))
+              _lists(halves, np.int32),
+              pa.array([s.tobytes() for s in sizes], pa.binary())]
+    return _structs(map(len, of_sets), arrays, _ENTRY)
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number ``node`` of each row, the same in every scan: 31 bits for its file, 32 for its place there."""
+    rows = placed(docs, "__place")
+    files = rows.select("__place.file").distinct().checkpoint()
+    n = files.count()
+    for salt in count():
+        number = F.pmod(F.xxhash64("file", F.lit(salt)), F.lit(1 << 31))
+        if files.select(number).distinct().count() == n:
+            break
+    number = F.pmod(F.xxhash64("__place.file", F.lit(salt)), F.lit(1 << 31))
+    return rows.withColumn("node", F.shiftleft(number, 32).bitwiseOR(F.col("__place.row"))).drop("__place")
 
 
 def _profiles(docs: DataFrame, size: int, plan: Plan) -> DataFrame:
-    """``doc_id, n_shingles, set_key`` and of small sets the set, of others the grids."""
-    schema = (StructType([docs.schema["doc_id"]]).add("n_shingles", "long").add("set_key", "binary")
-              .add("small", ArrayType(LongType())).add("grids", ArrayType(_ENTRY)))
+    """``node, doc_id, n_shingles, set_key`` and of small sets the set."""
+    schema = (StructType([docs.schema["node"], docs.schema["doc_id"]]).add("n_shingles", "long")
+              .add("set_key", "binary").add("small", ArrayType(LongType())))
 
     def run(batches):
         for batch in batches:
-            counts, keys, small, grids = [], [], [], []
-            for block in shingles.text_blocks((t.as_py() or "").encode() for t in batch.column(1)):
+            counts, keys, small = [], [], []
+            for block in shingles.text_blocks((t.as_py() or "").encode() for t in batch.column(2)):
                 for own in sets(block, size):
                     counts.append(len(own))
                     keys.append(blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None)
-                    is_small = len(own) <= plan.small
-                    small.append(own.view(np.int64) if is_small else None)
-                    grids.append([] if is_small else list(plan.grids(own)))
+                    small.append(own.view(np.int64) if len(own) <= plan.small else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()),
-                 pa.array(small, _LONGS), _grid_array(grids)], names=schema.fieldNames())
+                [batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()),
+                 pa.array(small, _LONGS)], names=schema.fieldNames())
+
+    return docs.select("node", "doc_id", "text").mapInArrow(run, schema)
+
+
+def _of_sets(rows: DataFrame, size: int, name: str, made: DataType, make) -> DataFrame:
+    """``node`` and, as ``name``, what ``make`` returns as an array for a list of sets."""
+    schema = StructType().add("node", "long").add(name, made)
+
+    def run(batches):
+        for batch in batches:
+            done = 0
+            for block in shingles.text_blocks((t.as_py() or "").encode() for t in batch.column(1)):
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(done, len(block)), make(sets(block, size))], names=schema.fieldNames())
+                done += len(block)
+
+    return rows.select("node", "text").mapInArrow(run, schema)
 
-    return docs.mapInArrow(run, schema)
+
+def _likely(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of ``nodes``, and a few others."""
+    bits = filter_bits(nodes.count())
+    return rows.where(may_contain(key_bitmap(nodes, ["node"], bits), [F.col("node")], bits))
 
 
 def _subsets(small: DataFrame, plan: Plan, boundary: int) -> DataFrame:
@@ -257,19 +311,6 @@ def _light_edges(subsets: DataFrame, percent: int) -> DataFrame:
             .select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct())
 
 
-def _small_grids(small: DataFrame, plan: Plan) -> DataFrame:
-    schema = StructType().add("node", "long").add("grids", ArrayType(_ENTRY))
-
-    def run(batches):
-        for batch in batches:
-            grids = [list(plan.grids(np.array(own, np.int64).view(np.uint64)))
-                     for own in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), _grid_array(grids)],
-                                             names=schema.fieldNames())
-
-    return small.select("node", "small").mapInArrow(run, schema)
-
-
 # ---- blocks ------------------------------------------------------------------------------
 
 def _dealt(rows: DataFrame, group: list[str], weight: str) -> DataFrame:
@@ -338,27 +379,31 @@ def _candidates_in(part: pa.Table, low: int, high: int, plan: Plan) -> list:
     return links
 
 
-def _heavy_edges(heavy: DataFrame, plan: Plan) -> DataFrame:
-    """Edges between heavy sets that share a list and whose slices leave a link possible."""
-    grids = heavy.select("node", F.posexplode("grids").alias("at", "g"))
-    keys = F.filter(F.concat("g.hashes", "g.least"), lambda h: h != 0)
+def _heavy_edges(rows: DataFrame, heavy: DataFrame, size: int, plan: Plan) -> DataFrame:
+    """Edges between the sets of ``heavy`` (``node``) that share a list and whose slices leave a link possible."""
+    keys = _of_sets(_likely(rows, heavy), size, "keys", ArrayType(_KEY),
+                    lambda own: _key_array([list(plan.grids(s)) for s in own]))
     # The narrow rows are shuffled once, for the aggregate and for the join.
-    entries = (grids.select("node", "at", F.explode(keys).alias("key")).where("key is not null")
-               .repartition("key"))
+    entries = (keys.select("node", F.explode("keys").alias("k")).select("node", "k.at", "k.key")
+               .where("key is not null and node is not null").repartition("key"))
     shared = (entries.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"),
                                          F.max("at").alias("at"))     # the join's columns: one exchange serves both
               .where("first != last and at >= 0").select("key"))
+    # Stored by itself: a filter of the next join, pushed below the exchange, would make it two.
     members = entries.join(shared, "key").checkpoint()
+    members = members.join(heavy, "node", "left_semi").checkpoint()      # without the few other rows
     # Near copies share many lists; of those with the same members (by two hashes of 64 bits) one is scanned.
     alike = members.groupBy("key").agg(
-        F.count("*").alias("n"), F.min("node").alias("least"),
+        F.count("*").alias("n"), F.min("node").alias("least"), F.max("node").alias("last"),
         F.bit_xor(F.xxhash64("node", "at")).alias("x"), F.bit_xor(F.xxhash64("at", "node", F.lit(1))).alias("y"))
-    kept = alike.groupBy("n", "least", "x", "y").agg(F.min("key").alias("key")).select("key")
-    # Grids are large: those of sets in no list stay where they are.
+    kept = (alike.where("least != last").groupBy("n", "least", "x", "y").agg(F.min("key").alias("key"))
+            .select("key"))
+    # Grids are large: only sets in a list get them, from their texts.
     nodes = members.select("node").distinct().checkpoint()
-    bits = filter_bits(nodes.count())
-    slim = (grids.where(may_contain(key_bitmap(nodes, ["node"], bits), [F.col("node")], bits))
-            .select("node", "at", "g.tag", "g.size", "g.hashes", "g.sizes"))
+    grids = _of_sets(_likely(rows, nodes), size, "grids", ArrayType(_ENTRY),
+                     lambda own: _grid_array([list(plan.grids(s)) for s in own]))
+    slim = grids.select("node", F.posexplode("grids").alias("at", "g")).select(
+        "node", "at", "g.tag", "g.size", "g.hashes", "g.sizes")
     rows = (members.join(kept, "key").join(slim, ["node", "at"]).drop("at")
             .withColumn("slices", F.size("hashes")))
     group = ["key", "tag"]
@@ -402,56 +447,39 @@ def _links_in(part: pa.Table, low: int, high: int, plan: Plan):
     return links, zip(node[has].tolist(), count[has].tolist())
 
 
-def _full_sets(wanted: DataFrame, docs: DataFrame, size: int) -> DataFrame:
-    """``wanted`` (``set_key, doc_id, ...``) with ``shingles``, made from the texts again."""
-    bits = filter_bits(wanted.count())
-    known = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    likely = docs.where(may_contain(key_bitmap(wanted.select(known.alias("id")), ["id"], bits), [known], bits))
-
-    def make(batches):
-        for batch in batches:
-            own = [s.tobytes() for block in shingles.text_blocks(
-                       (t.as_py() or "").encode() for t in batch.column(1)) for s in sets(block, size)]
-            # Copies within a batch are of no use.
-            keys = [blake2b(s, digest_size=16).digest() for s in own]
-            first = sorted({k: i for i, k in reversed(list(enumerate(keys)))}.values())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([keys[i] for i in first], pa.binary()),
-                 pa.array([own[i] for i in first], pa.binary())], names=["set_key", "shingles"])
-
-    made = likely.mapInArrow(make, "set_key binary, shingles binary")
-    return made.join(wanted, "set_key").dropDuplicates(["set_key"])
+def _full_sets(wanted: DataFrame, rows: DataFrame, size: int) -> DataFrame:
+    """``wanted`` (``node, ...``) with ``shingles``, made from the texts again."""
+    made = _of_sets(_likely(rows, wanted), size, "shingles", BinaryType(),
+                    lambda own: pa.array([s.tobytes() for s in own], pa.binary()))
+    return made.join(wanted, "node")
 
 
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_shingles, class_id`` (the least id with an equal set),
     ``class_size``, ``n_links`` (other classes that its class links with), ``component_id`` (the least id
-    reachable by links).  ``docs`` has to be a stored table: it is scanned twice."""
+    reachable by links).  ``docs`` should be a stored table: it is scanned four times."""
     if not 50 < percent <= 100:
         raise ValueError("percent has to be above 50")
     checkpoint_dir(docs.sparkSession)
     plan = Plan(percent)
-    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    slim = _numbered(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
     profiles = _profiles(slim, shingle_words, plan).checkpoint()
     least = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id")
     classes = (profiles.where("set_key is not null").groupBy("set_key", "n_shingles")
                .agg(F.min(least).alias("least"), F.count("*").alias("class_size"),
-                    *[F.first(c).alias(c) for c in ("small", "grids")])
-               .withColumn("node", F.monotonically_increasing_id()).checkpoint())
+                    F.min("node").alias("node"), F.first("small").alias("small")).checkpoint())
 
     small = classes.where("small is not null")
     numbers = {r["n_shingles"]: r["count"] for r in small.groupBy("n_shingles").count().collect()}
     boundary = plan.boundary(numbers)
-    of_small = _small_grids(small.where(F.col("n_shingles") > boundary), plan)
-    heavy = (classes.where("small is null").select("node", "grids")
-             .unionByName(of_small.checkpoint()))
+    heavy = classes.where(F.col("n_shingles") > boundary).select("node")
     light = _subsets(small, plan, boundary)
-    edges = _light_edges(light, percent).unionByName(_heavy_edges(heavy, plan)).checkpoint()
+    edges = (_light_edges(light, percent).unionByName(_heavy_edges(slim, heavy, shingle_words, plan))
+             .checkpoint())
 
     groups = components(edges).withColumnRenamed("label", "group")
-    wanted = (classes.select("node", "set_key", "n_shingles", F.col("least.doc_id").alias("doc_id"))
-              .join(groups, "node").checkpoint())
+    wanted = classes.select("node", "n_shingles").join(groups, "node").checkpoint()
     full = _full_sets(wanted, slim, shingle_words).select("group", "node", "n_shingles", "shingles")
 
     def scan(batches):

@@ -125,6 +125,25 @@ def test_blocks_lose_no_link(spark, store, monkeypatch):
     assert result(jaccard_join.jaccard_join(docs, shingle_words=4, percent=85)) == by_hand(rows, 4, 85)
 
 
+def test_sets_that_share_no_list_store_little(spark, store, words):
+    """Slices of sets are as large as the texts: those of sets without a partner aren't written."""
+    import os
+
+    from lotwise.session import checkpoint_dir
+
+    def files():
+        folder = checkpoint_dir(spark).removeprefix("file:")
+        return {os.path.join(at, f): os.path.getsize(os.path.join(at, f))
+                for at, _, names in os.walk(folder) for f in names}
+
+    rows = [(i, words(i, 500)) for i in range(400)]
+    docs, before = store(spark, rows, SCHEMA), files()
+    out = jaccard_join.jaccard_join(docs, shingle_words=4, percent=85)
+    written = sum(n for f, n in files().items() if f not in before)
+    assert out.where("n_links = 0 and component_id = doc_id").count() == 400
+    assert written < sum(len(t) for _, t in rows) / 2
+
+
 def test_cost_chooses_the_boundary():
     plan = jaccard_join.Plan(85)
     assert 7 <= plan.boundary({size: 10 for size in range(1, 24)}) <= 13
