@@ -18,10 +18,11 @@ space).  Two sets link when their Jaccard similarity is at least ``percent`` / 1
    (only pairs of such sets need them).  Large sets are first cut into wide ranges of the hash, each a
    set of its own with lists of its own: of two similar sets, the parts in at least one range are as similar.
    Slices are as large as the texts and aren't stored: a scan makes the narrow entries of the lists, another one
-   the slices of the sets that share a list.
+   the slices of the sets that share a list, a byte of hash and a byte of size for each.
 4. The boundary is the one of least cost: keys written, by the numbers of classes of each size
    (a table of at most ``SMALL`` rows).
-5. Of lists with the same members one is scanned, in blocks of bounded size.  A differing slice differs by at least one element, by two if the
+5. Of lists with the same members one is scanned, in blocks of bounded size.  Blocks are cut on the narrow rows; slices, and
+   sets later, move only to their row's node and from there to their blocks.  A differing slice differs by at least one element, by two if the
    sizes are equal; pairs whose slices differ too much in sum are out.  The others leave the task
    as edges that join groups, fewer than it has rows.
 6. Groups of the remaining candidates get their full sets (the last scan of the texts).
@@ -45,7 +46,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType, LongType, StructType
 
@@ -189,18 +190,11 @@ def _subset_keys(own: np.ndarray, plan: Plan, boundary: int):
 
 
 _KEY = StructType().add("at", IntegerType()).add("key", "long")
-_ENTRY = (StructType().add("tag", "long").add("size", "long").add("hashes", ArrayType(IntegerType()))
-          .add("sizes", "binary"))
+_ENTRY = StructType().add("tag", "long").add("size", "long").add("hashes", "binary").add("sizes", "binary")
 #: Sizes of slices are written as bytes; this one means "so many or more".
 MOST = 255
 
 
-def _lists(values: list[np.ndarray], kind) -> pa.ListArray:
-    offsets = np.cumsum([0, *map(len, values)]).astype(np.int32)
-    flat = np.concatenate([np.zeros(0, kind), *values]).view(kind)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-
-
 def _structs(lengths, arrays: list, of: StructType) -> pa.ListArray:
     offsets = np.cumsum([0, *lengths]).astype(np.int32)
     return pa.ListArray.from_arrays(
@@ -223,10 +217,10 @@ def _key_array(of_sets: list[list[tuple]]) -> pa.ListArray:
 def _grid_array(of_sets: list[list[tuple]]) -> pa.ListArray:
     entries = [entry for grids in of_sets for entry in grids]
     tag, size, hashes, sizes = ([e[i] for e in entries] for i in range(4))
-    # Half of a hash will do: slices that are alike by chance make a pair a candidate.
-    halves = [(h & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32) for h in hashes]
+    # A byte of a hash will do: slices that are alike by chance, one differing one in 256, can only make a
+    # pair a candidate.
     arrays = [pa.array(np.array(tag, np.uint64).view(np.int64)), pa.array(size, pa.int64()),
-              _lists(halves, np.int32),
+              pa.array([h.astype(np.uint8).tobytes() for h in hashes], pa.binary()),
               pa.array([s.tobytes() for s in sizes], pa.binary())]
     return _structs(map(len, of_sets), arrays, _ENTRY)
 
@@ -279,9 +273,9 @@ def _of_sets(rows: DataFrame, size: int, name: str, made: DataType, make) -> Dat
     return rows.select("node", "text").mapInArrow(run, schema)
 
 
-def _likely(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The rows of ``nodes``, and a few others."""
-    bits = filter_bits(nodes.count())
+def _likely(rows: DataFrame, nodes: DataFrame, each: int = 16) -> DataFrame:
+    """The rows of ``nodes``, and a few others: one in ``each`` or fewer."""
+    bits = filter_bits(nodes.count(), each)
     return rows.where(may_contain(key_bitmap(nodes, ["node"], bits), [F.col("node")], bits))
 
 
@@ -313,17 +307,21 @@ def _light_edges(subsets: DataFrame, percent: int) -> DataFrame:
 
 # ---- blocks ------------------------------------------------------------------------------
 
-def _dealt(rows: DataFrame, group: list[str], weight: str) -> DataFrame:
-    """``rows`` for each pair of blocks of their group, sorted; ``weight`` fills a block to ``BLOCK``."""
-    sizes = rows.groupBy(*group).agg(F.sum(weight).alias("__total"))
-    cut = (rows.join(sizes, group)
-           .withColumn("__blocks", F.ceil(F.col("__total") / BLOCK).cast("int"))
-           .withColumn("own", F.pmod(F.xxhash64("node"), F.col("__blocks")).cast("int"))
-           .withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)))
-           .withColumn("low", F.least("own", "__other")).withColumn("high", F.greatest("own", "__other"))
-           .drop("__total", "__blocks", "__other", weight))
+def _dealt(rows: DataFrame, group: str, weight: Column) -> DataFrame:
+    """Stored narrow ``rows`` for each pair of blocks of their group; ``weight`` fills a block to ``BLOCK``."""
+    sizes = rows.groupBy(group).agg(F.sum(weight).alias("__total"))
+    return (rows.join(sizes, group)
+            .withColumn("__blocks", F.ceil(F.col("__total") / BLOCK).cast("int"))
+            .withColumn("own", F.pmod(F.xxhash64("node"), F.col("__blocks")).cast("int"))
+            .withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)))
+            .withColumn("low", F.least("own", "__other")).withColumn("high", F.greatest("own", "__other"))
+            .drop("__total", "__blocks", "__other"))
+
+
+def _gathered(rows: DataFrame, group: list[str]) -> DataFrame:
+    """Dealt ``rows``, those of a pair of blocks one after the other."""
     key = [*group, "low", "high"]
-    return cut.repartition(*key).sortWithinPartitions(*key)
+    return rows.repartition(*key).sortWithinPartitions(*key)
 
 
 def _groups(batches, group: list[str]):
@@ -355,9 +353,9 @@ _EDGES = "a long, b long, n long"
 def _candidates_in(part: pa.Table, low: int, high: int, plan: Plan) -> list:
     """Pairs that the slices leave possible and that join groups of the block."""
     own, node, size = (part[c].to_numpy() for c in ("own", "node", "size"))
-    hashes = np.stack([np.asarray(v.values) for c in part["hashes"].chunks for v in c])
-    sizes = np.stack([np.frombuffer(v.as_buffer(), np.uint8) for c in part["sizes"].chunks
-                      for v in c]).astype(np.int16)
+    hashes, sizes = (np.stack([np.frombuffer(v.as_buffer(), np.uint8) for c in part[name].chunks for v in c])
+                     for name in ("hashes", "sizes"))
+    sizes = sizes.astype(np.int16)
     label, links = np.arange(len(node)), []
     for i in np.flatnonzero(own == low).tolist():
         other = (own == high) & (label != label[i])
@@ -380,7 +378,8 @@ def _candidates_in(part: pa.Table, low: int, high: int, plan: Plan) -> list:
 
 
 def _heavy_edges(rows: DataFrame, heavy: DataFrame, size: int, plan: Plan) -> DataFrame:
-    """Edges between the sets of ``heavy`` (``node``) that share a list and whose slices leave a link possible."""
+    """Edges between the sets of ``heavy`` (``node, n_shingles``) that share a list and whose slices leave a link
+    possible."""
     keys = _of_sets(_likely(rows, heavy), size, "keys", ArrayType(_KEY),
                     lambda own: _key_array([list(plan.grids(s)) for s in own]))
     # The narrow rows are shuffled once, for the aggregate and for the join.
@@ -391,28 +390,32 @@ def _heavy_edges(rows: DataFrame, heavy: DataFrame, size: int, plan: Plan) -> Da
               .where("first != last and at >= 0").select("key"))
     # Stored by itself: a filter of the next join, pushed below the exchange, would make it two.
     members = entries.join(shared, "key").checkpoint()
-    members = members.join(heavy, "node", "left_semi").checkpoint()      # without the few other rows
+    members = members.join(heavy, "node").checkpoint()      # without the few other rows
     # Near copies share many lists; of those with the same members (by two hashes of 64 bits) one is scanned.
     alike = members.groupBy("key").agg(
         F.count("*").alias("n"), F.min("node").alias("least"), F.max("node").alias("last"),
         F.bit_xor(F.xxhash64("node", "at")).alias("x"), F.bit_xor(F.xxhash64("at", "node", F.lit(1))).alias("y"))
     kept = (alike.where("least != last").groupBy("n", "least", "x", "y").agg(F.min("key").alias("key"))
             .select("key"))
-    # Grids are large: only sets in a list get them, from their texts.
-    nodes = members.select("node").distinct().checkpoint()
-    grids = _of_sets(_likely(rows, nodes), size, "grids", ArrayType(_ENTRY),
+    listed = members.join(kept, "key").checkpoint()
+    # Grids are large: only sets in a list get them, from their texts, when their blocks are known.
+    nodes = listed.select("node").distinct().checkpoint()
+    grids = _of_sets(_likely(rows, nodes, 64), size, "grids", ArrayType(_ENTRY),
                      lambda own: _grid_array([list(plan.grids(s)) for s in own]))
     slim = grids.select("node", F.posexplode("grids").alias("at", "g")).select(
         "node", "at", "g.tag", "g.size", "g.hashes", "g.sizes")
-    rows = (members.join(kept, "key").join(slim, ["node", "at"]).drop("at")
-            .withColumn("slices", F.size("hashes")))
+    # A part's slices, or a few more (``Plan.slices`` of the largest class it can be in).
+    share = CLASS_GROWTH * (100 / plan.percent - 1)
+    slices = F.ceil(F.least("n_shingles", F.lit(2 * PART)) * share) + SPARE + 2
+    dealt = _dealt(listed, "key", slices).drop("n_shingles")
     group = ["key", "tag"]
 
     def scan(batches):
         for part, low, high in _groups(batches, group):
             yield _edge_batch(_candidates_in(part, low, high, plan))
 
-    return _dealt(rows, group, "slices").mapInArrow(scan, _EDGES).select("a", "b").distinct()
+    return (_gathered(dealt.join(slim, ["node", "at"]).drop("at"), group).mapInArrow(scan, _EDGES)
+            .select("a", "b").distinct())
 
 
 def _links_in(part: pa.Table, low: int, high: int, plan: Plan):
@@ -449,7 +452,7 @@ def _links_in(part: pa.Table, low: int, high: int, plan: Plan):
 
 def _full_sets(wanted: DataFrame, rows: DataFrame, size: int) -> DataFrame:
     """``wanted`` (``node, ...``) with ``shingles``, made from the texts again."""
-    made = _of_sets(_likely(rows, wanted), size, "shingles", BinaryType(),
+    made = _of_sets(_likely(rows, wanted.select("node").distinct(), 64), size, "shingles", BinaryType(),
                     lambda own: pa.array([s.tobytes() for s in own], pa.binary()))
     return made.join(wanted, "node")
 
@@ -473,20 +476,21 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     small = classes.where("small is not null")
     numbers = {r["n_shingles"]: r["count"] for r in small.groupBy("n_shingles").count().collect()}
     boundary = plan.boundary(numbers)
-    heavy = classes.where(F.col("n_shingles") > boundary).select("node")
+    heavy = classes.where(F.col("n_shingles") > boundary).select("node", "n_shingles")
     light = _subsets(small, plan, boundary)
     edges = (_light_edges(light, percent).unionByName(_heavy_edges(slim, heavy, shingle_words, plan))
              .checkpoint())
 
     groups = components(edges).withColumnRenamed("label", "group")
     wanted = classes.select("node", "n_shingles").join(groups, "node").checkpoint()
-    full = _full_sets(wanted, slim, shingle_words).select("group", "node", "n_shingles", "shingles")
+    dealt = _dealt(wanted, "group", F.col("n_shingles")).drop("n_shingles").checkpoint()
+    full = _gathered(_full_sets(dealt, slim, shingle_words), ["group"])
 
     def scan(batches):
         for part, low, high in _groups(batches, ["group"]):
             yield _edge_batch(*_links_in(part, low, high, plan))
 
-    found = _dealt(full, ["group"], "n_shingles").mapInArrow(scan, _EDGES).checkpoint()
+    found = full.mapInArrow(scan, _EDGES).checkpoint()
     links = found.where("b is not null").select("a", "b")
     counts = found.where("b is null").groupBy("a").agg(F.sum("n").alias("n_links"))
     return _by_document(profiles, classes, components(links), counts)

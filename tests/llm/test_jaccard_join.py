@@ -144,6 +144,42 @@ def test_sets_that_share_no_list_store_little(spark, store, words):
     assert written < sum(len(t) for _, t in rows) / 2
 
 
+def test_blocks_are_cut_on_narrow_rows(spark, store, monkeypatch):
+    """Neither slices nor sets go through the shuffles that deal rows into blocks."""
+    dealt, cut = jaccard_join._dealt, []
+
+    def seen(rows, *more):
+        cut.append(set(rows.columns))
+        return dealt(rows, *more)
+
+    monkeypatch.setattr(jaccard_join, "_dealt", seen)
+    rows = list(enumerate(family(random.Random(6), 300, 30, 8)))
+    docs = store(spark, rows, SCHEMA)
+    assert result(jaccard_join.jaccard_join(docs, shingle_words=4, percent=85)) == by_hand(rows, 4, 85)
+    assert len(cut) == 2 and not any({"hashes", "sizes", "shingles"} & columns for columns in cut)
+
+
+def test_a_slice_takes_two_bytes():
+    plan = jaccard_join.Plan(85)
+    grids = list(plan.grids(jaccard_join.sets([" ".join(f"w{i}" for i in range(3000)).encode()], 4)[0]))
+    entries = jaccard_join._grid_array([grids]).values
+    slices = sum(len(sizes) for _, _, _, sizes, _ in grids)
+    assert sum(len(e["hashes"]) + len(e["sizes"]) for e in entries.to_pylist()) == 2 * slices
+
+
+def test_slices_alike_by_chance_lose_no_link(spark, store, monkeypatch):
+    """Hashes of slices that tell nothing make more candidates, not other links."""
+    of_sets = jaccard_join._grid_array
+
+    def blank(sets):
+        return of_sets([[(tag, n, hashes * 0, sizes, least) for tag, n, hashes, sizes, least in own] for own in sets])
+
+    monkeypatch.setattr(jaccard_join, "_grid_array", blank)
+    rows = corpus(5, range(20, 60, 4), 5, 6)
+    docs = store(spark, rows, SCHEMA)
+    assert result(jaccard_join.jaccard_join(docs, shingle_words=4, percent=85)) == by_hand(rows, 4, 85)
+
+
 def test_cost_chooses_the_boundary():
     plan = jaccard_join.Plan(85)
     assert 7 <= plan.boundary({size: 10 for size in range(1, 24)}) <= 13
