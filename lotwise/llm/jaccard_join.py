@@ -274,7 +274,7 @@ def _of_sets(rows: DataFrame, size: int, name: str, made: DataType, make) -> Dat
 
 
 def _likely(rows: DataFrame, nodes: DataFrame, each: int = 16) -> DataFrame:
-    """The rows of ``nodes``, and a few others: one in ``each`` or fewer."""
+    """The rows of ``nodes``, and a few others: one in ``each``, more where the filter is at its largest."""
     bits = filter_bits(nodes.count(), each)
     return rows.where(may_contain(key_bitmap(nodes, ["node"], bits), [F.col("node")], bits))
 
